@@ -3,7 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+
+def _by_label(df: DataFrame, *label: str) -> DataFrame:
+    """Bring rows of one output folder together, so that there are few files per folder.
+
+    The hint leaves the sizes to adaptive execution: small labels share a task, and a label
+    that holds a third of all rows is split over as many tasks as its bytes call for.
+    """
+    return df.hint("rebalance", *label)
 
 
 def write_json_lines(df: DataFrame, path: str, compress: bool = True, mode: str = "overwrite") -> None:
@@ -14,7 +22,7 @@ def write_json_lines(df: DataFrame, path: str, compress: bool = True, mode: str
 def write_segments(segments: DataFrame, path: str, mode: str = "append") -> None:
     """Segment text as one folder per (round, language), one line per segment."""
     (
-        segments.select("round", "language", "text")
+        _by_label(segments.select("round", "language", "text"), "round", "language")
         .write.mode(mode)
         .partitionBy("round", "language")
         .text(path)
@@ -29,7 +37,7 @@ def write_url_list(urls: DataFrame, path: str, compress: bool = False, mode: str
 def write_urls_by_label(urls: DataFrame, path: str, label: str = "lang_script", mode: str = "overwrite") -> None:
     """URLs as gz text, one folder per label: seed lists, or crawled URLs per language."""
     (
-        urls.select(label, "url")
+        _by_label(urls.select(label, "url"), label)
         .write.mode(mode)
         .partitionBy(label)
         .option("compression", "gzip")
@@ -37,25 +45,11 @@ def write_urls_by_label(urls: DataFrame, path: str, label: str = "lang_script",
     )
 
 
-def write_dataset(
-    df: DataFrame,
-    path: str,
-    max_rows: int = 500_000,
-    files_per_label: int | None = None,
-    mode: str = "overwrite",
-) -> None:
-    """The corpus as zstd Parquet, one folder per (language, script), files of at most `max_rows`.
-
-    `files_per_label` spreads every label over that many tasks by a hash of the text. It
-    keeps a big language from being written by one task and a small one from being
-    written by thousands; without it the rows are written where they are.
-    """
-    out = df.select("text", "language", "script")
-    if files_per_label is not None:
-        bucket = F.pmod(F.xxhash64("text"), F.lit(files_per_label))
-        out = out.repartition("language", "script", bucket)
+def write_dataset(df: DataFrame, path: str, max_rows: int = 500_000, mode: str = "overwrite") -> None:
+    """The corpus as zstd Parquet, one folder per (language, script), files of at most `max_rows`."""
     (
-        out.write.mode(mode)
+        _by_label(df.select("text", "language", "script"), "language", "script")
+        .write.mode(mode)
         .option("compression", "zstd")
         .option("maxRecordsPerFile", max_rows)
         .partitionBy("language", "script")
