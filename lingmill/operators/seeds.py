@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from lingmill.operators.ranking import first_per_key
 
-# A language table of at most this many rows is broadcast; ISO 639-3 has about 8,000 codes.
-MAX_LANGUAGE_ROWS = 10_000
-
 
 def index_filter(
     index: DataFrame, languages: Iterable[str], subset: str | None = None, crawl: str | None = None
@@ -47,7 +44,7 @@ def domains_per_language(index: DataFrame, order: str) -> DataFrame:
 
 def with_scripts(index: DataFrame, languages: DataFrame) -> DataFrame:
     """Add `lang_script`; rows in a language that the table does not have are left out."""
-    table = F.broadcast(_one_per_code(languages))
+    table = _one_per_code(languages)
     return index.join(table, index["content_languages"] == table["iso6393"]).select(
         *index.columns, F.concat_ws("_", "iso6393", "iso15924").alias("lang_script")
     )
@@ -55,14 +52,14 @@ def with_scripts(index: DataFrame, languages: DataFrame) -> DataFrame:
 
 def unmapped_languages(index: DataFrame, languages: DataFrame) -> DataFrame:
     """Languages of the index that the table does not have, with their number of rows."""
-    table = F.broadcast(_one_per_code(languages))
+    table = _one_per_code(languages)
     lost = index.join(table, index["content_languages"] == table["iso6393"], "left_anti")
     return urls_per_language(lost)
 
 
 def _one_per_code(languages: DataFrame) -> DataFrame:
-    """One script per code. Cut at a bound that no list of languages reaches, so that it is
-    safe to broadcast; `check_language_table` fails on a table beyond it."""
+    """One script per code. No join strategy is forced: the planner broadcasts the table when
+    it sees that it is small."""
     return languages.groupBy("iso6393").agg(F.min("iso15924").alias("iso15924"))
 
 
