@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lingmill.functions.bind import bind
+
 # One attribute: name, then the value bare or in quotes. A quoted value is eaten whole, so a
 # name inside another attribute's value is never taken for an attribute.
 _ATTR = r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+[^\s>]*))?"""
@@ -46,7 +48,7 @@ def _attr_values(tag: Column, name: str) -> Column:
 def attribute(tag: Column, name: str) -> Column:
     """Decoded value of an attribute, NULL if the tag has none; the last of several wins."""
     raw = F.try_element_at(_attr_values(tag, name), F.lit(-1))
-    return decode_entities(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2"))
+    return bind(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2"), decode_entities)
 
 
 def decode_entities(text: Column) -> Column:
@@ -93,10 +95,12 @@ def robots_directives(html: Column) -> Column:
     No tag or an empty one allows both. The value `none` is not understood, on purpose.
     Text that cannot be read (NULL) allows neither.
     """
-    content = F.lower(F.coalesce(robots_content(html), F.lit("")))
     known = html.isNotNull()
-    return F.struct(
-        (known & ~F.contains(content, F.lit("noindex"))).alias("can_index"),
-        (known & ~F.contains(content, F.lit("nofollow"))).alias("can_follow"),
-        F.when(~known, "html is missing").when(content == "", "No meta tag found").alias("error"),
+    return bind(
+        F.lower(F.coalesce(robots_content(html), F.lit(""))),
+        lambda content: F.struct(
+            (known & ~F.contains(content, F.lit("noindex"))).alias("can_index"),
+            (known & ~F.contains(content, F.lit("nofollow"))).alias("can_follow"),
+            F.when(~known, "html is missing").when(content == "", "No meta tag found").alias("error"),
+        ),
     )

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lingmill.functions.bind import bind
+
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 _NETLOC = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 
@@ -71,62 +73,76 @@ def drop_empty_parts(rest: Column) -> Column:
     return F.regexp_replace(rest, r"^((?:[^?#]*/)?[^/;?#]*);([?#].*)?$", "$1$2")
 
 
-def _pop_dots(segments: Column) -> Column:
-    """Resolve `.` and `..` in an array of path segments."""
-    step = lambda acc, s: (
-        F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(s == ".", acc)
-        .otherwise(F.concat(acc, F.array(s)))
-    )
-    done = F.aggregate(segments, F.array().cast("array<string>"), step)
-    ends_in_dots = F.element_at(segments, -1).isin(".", "..")
-    return F.when(ends_in_dots, F.concat(done, F.array(F.lit("")))).otherwise(done)
+def _pop_dots(path: Column) -> Column:
+    """Resolve `.` and `..` in a path."""
+
+    def step(done: Column, segment: Column) -> Column:
+        return (
+            F.when(segment == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+            .when(segment == ".", done)
+            .otherwise(F.concat(done, F.array(segment)))
+        )
+
+    kept = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step)
+    # a path that ends in dots names a folder
+    tail = F.when(F.rlike(path, F.lit(r"(^|/)\.\.?$")), F.array(F.lit(""))).otherwise(F.slice(kept, 1, 0))
+    return F.array_join(F.concat(kept, tail), "/")
+
+
+def _rooted(path: Column) -> Column:
+    return F.regexp_replace(path, "^(?!/)", "/")
 
 
 def _join_path(base_path: Column, path: Column) -> Column:
-    rooted = F.startswith(path, F.lit("/"))
     # a relative path replaces what follows the last slash of the base; doubled slashes go
     merged = F.concat(F.regexp_replace(base_path, "[^/]*$", ""), path)
-    head = F.when(F.startswith(merged, F.lit("/")), F.lit("/")).otherwise(F.lit(""))
-    body = F.regexp_replace(F.regexp_replace(merged, "^/+", ""), "/{2,}", "/")
-    full = F.when(rooted, path).otherwise(F.concat(head, body))
-    has_dots = F.rlike(full, F.lit(r"(^|/)\.\.?(/|$)"))
-    joined = F.array_join(_pop_dots(F.split(full, "/")), "/")
-    resolved = F.when(has_dots, joined).otherwise(full)
-    resolved = F.when(resolved == "", F.lit("/")).otherwise(resolved)
-    return F.when(F.startswith(resolved, F.lit("/")), resolved).otherwise(F.concat(F.lit("/"), resolved))
+    full = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.regexp_replace(merged, "/{2,}", "/"))
+    return bind(
+        full,
+        lambda p: _rooted(F.when(F.rlike(p, F.lit(r"(^|/)\.\.?(/|$)")), _pop_dots(p)).otherwise(p)),
+    )
 
 
-def resolve(base: Column, href: Column) -> Column:
-    """Absolute form of `href` as seen from `base` (an http or https URL)."""
-    base, href = _tidy(base), _tidy(href)
-    own_scheme = scheme(href)
-    base_scheme = scheme(base)
-    other = (own_scheme != "") & (own_scheme != base_scheme)
-    # what follows the scheme
-    rest = F.when(own_scheme != "", F.regexp_replace(href, _SCHEME, "")).otherwise(href)
-    rest = F.regexp_replace(rest, "^//(?=[/?#]|$)", "")  # an empty host is none
-    has_host = F.startswith(rest, F.lit("//"))
-    absolute = F.concat(base_scheme, F.lit(":"), drop_empty_parts(rest))
-    base_rest = F.regexp_replace(base, _NETLOC, "")
-    path = _path(rest)
-    query = F.when((path == "") & (_query(rest) == ""), _query(base_rest)).otherwise(_query(rest))
+def _resolve_on_host(base_rest: Column, rest: Column) -> Column:
+    """Path, query and fragment of a link without host, from those of its base."""
+    path, query = _path(rest), _query(rest)
     fragment = F.regexp_extract(rest, "(#.+)$", 1)
-    base_path = _path(base_rest)
-    target = F.when(path == "", base_path).otherwise(_join_path(base_path, path))
-    same_host = F.concat(base_scheme, F.lit("://"), netloc(base), drop_empty_parts(F.concat(target, query, fragment)))
-    return (
-        F.when(href == "", base)
-        .when(other, href)
-        .when(has_host, absolute)
-        .otherwise(same_host)
+    return F.when(path != "", F.concat(_join_path(_path(base_rest), path), query, fragment)).otherwise(
+        F.concat(_path(base_rest), F.when(query == "", _query(base_rest)).otherwise(query), fragment)
     )
 
 
+def resolve(base: Column, href: Column) -> Column:
+    """Absolute form of `href` as seen from `base` (an http or https URL)."""
+
+    def joined(v: Column) -> Column:
+        base, href, rest = v["base"], v["href"], v["rest"]
+        own, of_base = scheme(href), scheme(base)
+        return (
+            F.when(href == "", base)
+            .when((own != "") & (own != of_base), href)
+            .when(F.startswith(rest, F.lit("//")), F.concat(of_base, F.lit(":"), drop_empty_parts(rest)))
+            .otherwise(
+                F.concat(
+                    of_base,
+                    F.lit("://"),
+                    netloc(base),
+                    drop_empty_parts(_resolve_on_host(F.regexp_replace(base, _NETLOC, ""), rest)),
+                )
+            )
+        )
+
+    def parts(v: Column) -> Column:
+        # the link without its scheme; an empty host is none
+        rest = F.regexp_replace(F.regexp_replace(v["href"], _SCHEME, ""), "^//(?=[/?#]|$)", "")
+        return bind(F.struct(v["base"].alias("base"), v["href"].alias("href"), rest.alias("rest")), joined)
+
+    return bind(F.struct(_tidy(base).alias("base"), _tidy(href).alias("href")), parts)
 
 
 def percent_decode(text: Column) -> Column:
     """Undo %XX; a `+` stays, and a `%` that starts no code stays."""
+    # most texts have no code, and are left alone
     ready = F.regexp_replace(F.replace(text, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
     return F.when(F.contains(text, F.lit("%")), F.try_url_decode(ready)).otherwise(text)
 
@@ -135,9 +151,8 @@ def robots_path(url: Column) -> Column:
     """The decoded part of a URL that robots rules are compared with; `/` if empty."""
     rest = F.regexp_replace(_tidy(percent_decode(url)), _SCHEME, "")
     rest = F.regexp_replace(rest, r"^//[^/?#]*", "")
-    rest = drop_empty_parts(rest)
-    rest = F.when(F.startswith(rest, F.lit("//")), F.concat(F.lit("//"), rest)).otherwise(rest)
-    return F.when(rest == "", F.lit("/")).otherwise(rest)
+    rest = F.regexp_replace(drop_empty_parts(rest), "^//", "////")
+    return F.regexp_replace(rest, "^$", "/")
 
 
 def robots_rule_path(value: Column) -> Column:

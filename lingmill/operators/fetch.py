@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lingmill.functions.bind import bind
+
 ACCEPTED = {"text/html": "html"}
 
 
@@ -16,13 +18,17 @@ def normalize_headers(pages: DataFrame) -> DataFrame:
         F.map_entries("headers"),
         lambda e: F.struct(F.lower(e["key"]).alias("key"), F.lower(e["value"]).alias("value")),
     )
-    last = F.filter(
-        lowered,
-        lambda e, i: ~F.exists(
-            F.slice(lowered, i + 2, F.size(lowered)), lambda later: later["key"] == e["key"]
-        ),
-    )
-    return pages.withColumn("headers", F.map_from_entries(last))
+
+    def last_of_each(all_of_them: Column) -> Column:
+        names = F.transform(all_of_them, lambda e: e["key"])
+        return bind(
+            names,
+            lambda ns: F.filter(
+                all_of_them, lambda e, i: ~F.array_contains(F.slice(ns, i + 2, F.size(ns)), e["key"])
+            ),
+        )
+
+    return pages.withColumn("headers", F.map_from_entries(bind(lowered, last_of_each)))
 
 
 def is_success(status: Column) -> Column:

@@ -21,11 +21,9 @@ MAX_LANGUAGES = 2000
 
 def trigrams(text: Column) -> Column:
     """ARRAY of the overlapping 3-character pieces of the lower-cased text between two blanks."""
-    chars = F.split(F.concat(F.lit(" "), F.lower(text), F.lit(" ")), "")
-    return F.transform(
-        F.sequence(F.lit(0), F.length(text) - 1),
-        lambda i: F.concat(F.get(chars, i), F.get(chars, i + 1), F.get(chars, i + 2)),
-    )
+    padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
+    # look ahead at three characters, go on by one
+    return F.regexp_extract_all(padded, F.lit("(?s)(?=(...))."), F.lit(1))
 
 
 def trigram_counts(lines: DataFrame, text_col: str, label_col: str) -> DataFrame:

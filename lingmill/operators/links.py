@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lingmill.functions import tags, urls
+from lingmill.functions.bind import bind
 
 
 def usable_href(href: Column) -> Column:
@@ -26,23 +27,26 @@ def is_internal(page_url: Column, url: Column) -> Column:
 
 def base_url(page_url: Column, html: Column) -> Column:
     """The page's `<base href>`, resolved, else the page URL itself."""
-    href = tags.base_href(html)
-    return F.when(href.isNotNull(), urls.resolve(page_url, href)).otherwise(page_url)
+    return bind(
+        tags.base_href(html),
+        lambda href: F.when(href.isNotNull(), urls.resolve(page_url, href)).otherwise(page_url),
+    )
 
 
 def link_array(page_url: Column, html: Column, internal_only: bool = True) -> Column:
     """ARRAY of the distinct links of one page, in document order."""
-    base = base_url(page_url, html)
-    usable = F.filter(tags.hrefs(html), usable_href)
-    # the base is worked out once per page, not once per link
-    links = F.transform(
-        F.arrays_zip(usable.alias("h"), F.array_repeat(base, F.size(usable)).alias("b")),
-        lambda z: absolute_url(z["b"], z["h"]),
-    )
-    keep = F.filter(links, lambda u: F.startswith(u, F.lit("http")))
-    if internal_only:
-        keep = F.filter(keep, lambda u: is_internal(page_url, u))
-    return F.array_distinct(keep)
+    # a page repeats its links: copies are dropped before anything is resolved
+    usable = F.array_distinct(F.filter(tags.hrefs(html), usable_href))
+    page = F.struct(base_url(page_url, html).alias("base"), urls.netloc(page_url).alias("host"), usable.alias("hrefs"))
+
+    def links(p: Column) -> Column:
+        keep = F.filter(
+            F.transform(p["hrefs"], lambda href: absolute_url(p["base"], href)),
+            lambda u: F.startswith(u, F.lit("http")),
+        )
+        return F.filter(keep, lambda u: urls.netloc(u) == p["host"]) if internal_only else keep
+
+    return F.array_distinct(bind(page, links))
 
 
 def anchors(pages: DataFrame) -> DataFrame:

@@ -64,6 +64,11 @@ class CrawlState:
         seen = self.spark.read.schema("url STRING, round INT").parquet(f"{self.folder}/seen")
         return seen.filter(F.col("round") <= round_no).select("url")
 
+    def batch(self, round_no: int) -> DataFrame:
+        return self.spark.read.schema("batch_pos BIGINT, url STRING, host STRING").parquet(
+            self.path("batch", round_no)
+        )
+
     def pages(self, round_no: int) -> DataFrame:
         return self.spark.read.schema("url STRING, html STRING, status INT, can_fetch BOOLEAN, batch_pos BIGINT").parquet(
             self.path("pages", round_no)
@@ -104,7 +109,8 @@ def crawl_round(
     if frontier.isEmpty():
         return False
     n = options.round_size
-    batch = fr.frontier_batch(frontier, n, options.lookahead)
+    state.write(fr.frontier_batch(frontier, n, options.lookahead), "batch", round_no)
+    batch = state.batch(round_no)
     # the seen set is scanned against the batch, which is bounded by n
     unseen = fr.frontier_unseen(batch, seen, n)
     decided = robots.robots_decide(unseen, docs, options.user_agent, options.robots_check)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lingmill.functions import tags
 from lingmill.functions import text as tx
+from lingmill.functions.bind import bind
 from lingmill.functions.blocks import blocks
 from lingmill.operators import fetch, language, links
 from lingmill.operators.language import LanguageModel
@@ -61,17 +62,23 @@ def with_languages(parts: DataFrame, model: LanguageModel) -> DataFrame:
     """
     lines = parts.select("url", F.posexplode("lines").alias("_no", "_line"))
     labels = language.lid_labels(lines, ["url", "_no"], "_line", model)
-    by_page = labels.groupBy("url").agg(
-        F.map_from_entries(F.collect_list(F.struct("_no", "language"))).alias("_labels")
+    by_page = labels.groupBy("url").agg(F.array_sort(F.collect_list(F.struct("_no", "language"))).alias("_labels"))
+    joined = parts.join(by_page, "url", "left")
+    found = F.col("_labels")
+    # nearly always each line has a label, so labels and lines pair up by position; a line
+    # without any known trigram leaves a gap, and then they are looked up by number
+    dense = F.transform(found, lambda x: x["language"])
+    sparse = bind(
+        F.map_from_entries(found),
+        lambda by_no: F.transform(F.col("lines"), lambda _, i: F.try_element_at(by_no, i)),
     )
-    segments = F.transform(
-        F.col("lines"),
-        lambda text, i: F.struct(
-            text.alias("text"),
-            F.coalesce(F.try_element_at(F.col("_labels"), i), F.lit(model.fallback)).alias("language"),
-        ),
+    fallback = F.lit(model.fallback)
+    segments = F.zip_with(
+        "lines",
+        F.when(F.size(found) == F.size("lines"), dense).otherwise(sparse),
+        lambda text, label: F.struct(text.alias("text"), F.coalesce(label, fallback).alias("language")),
     )
-    return parts.join(by_page, "url", "left").select("url", segments.alias("segments"), "parsed_urls")
+    return joined.select("url", segments.alias("segments"), "parsed_urls")
 
 
 def keep_wanted(
