@@ -13,10 +13,13 @@ from catalogue.registry import part
 from lingmill.functions import tags, urls
 from lingmill.operators import lines as ln
 from lingmill.operators import links as lk
+from lingmill.sources.readers import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    key = {"documents": "doc_id", "pages": "page_id"}.get(name)
+    return spread(df, key) if key else df
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 # white space. Java's own "\s" knows the ASCII ones only.
 WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
+# The same without the blank, as what is not in the ranges around it: quick for common letters.
+_OTHER_SPACE = (
+    r"[^\x20-\x84\x0e-\x1b\x00-\x08\x86-\x9f\xa1-\u167f\u1681-\u1fff\u200b-\u2027\u202a-\u202e\u2030-\u205e\u2060-\u2fff\u3001-\x{10ffff}]"
+)
+
 # The letters that count for the letter-case shares. The
 # "reference" alphabet has no "p" and has "b" twice, and results depend on it.
 ALPHABETS = {
@@ -28,21 +33,43 @@ _SENTENCE_BREAK = "\x01"
 
 def strip(text: Column) -> Column:
     """Cut Unicode white space at both ends."""
-    return F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    # the ends are looked at first: a regular expression for the end of a text tries every
+    # white space inside it
+    ends = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))
+    cut = F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.when(F.rlike(ends, F.lit(WHITESPACE)), cut).otherwise(text)
 
 
 def collapse_whitespace(text: Column) -> Column:
     """Turn every run of white space into one blank."""
-    return F.regexp_replace(text, f"{WHITESPACE}+", " ")
+    # most lines have single blanks only and stay as they are
+    needed = F.contains(text, F.lit("  ")) | F.rlike(text, F.lit(_OTHER_SPACE))
+    return F.when(needed, F.regexp_replace(text, f"{WHITESPACE}+", " ")).otherwise(text)
+
+
+def char_count(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+
+
+def _repeats(alphabet: str) -> str:
+    """What an alphabet lists beyond the first time."""
+    return "".join(c for i, c in enumerate(alphabet) if c in alphabet[:i])
 
 
 def letter_count(line: Column, alphabet: str) -> Column:
     """How many characters of `line` are in `alphabet`, each as often as it is listed there."""
-    total = F.lit(0)
-    for times in sorted({alphabet.count(c) for c in alphabet}):
-        # letters listed at least `times` times
-        letters = "".join(sorted({c for c in alphabet if alphabet.count(c) >= times}))
-        total = total + F.length(F.regexp_replace(line, f"[^{letters}]+", ""))
+    letters = "".join(sorted(set(alphabet)))
+    total = F.length(F.regexp_replace(line, f"[^{letters}]+", ""))
+    for char in _repeats(alphabet):
+        total = total + char_count(line, char)
+    return total
+
+
+def _letter_bound(line: Column, alphabet: str) -> Column:
+    """A cheap upper bound of `letter_count`: as if all but the blanks were letters."""
+    total = F.length(F.replace(line, F.lit(" "), F.lit("")))
+    for char in _repeats(alphabet):
+        total = total + char_count(line, char)
     return total
 
 
@@ -75,9 +102,14 @@ def case_shares_ok(
     exactly on a limit is kept on every engine.
     """
     n = F.length(line).cast("bigint")
-    low = lower_count(line, alphabet).cast("bigint") * 10000 <= n * round(max_lower * 10000)
-    up = upper_count(line, alphabet).cast("bigint") * 10000 <= n * round(max_upper * 10000)
-    return low & up
+
+    def at_most(count: Column, share: float) -> Column:
+        return count.cast("bigint") * 10000 <= n * round(share * 10000)
+
+    # blanks alone keep most lines below the lower-case limit; only else are letters counted
+    low = at_most(_letter_bound(line, ALPHABETS[alphabet]), max_lower)
+    low = low | at_most(lower_count(line, alphabet), max_lower)
+    return low & at_most(upper_count(line, alphabet), max_upper)
 
 
 def not_cut_off(line: Column, bad_suffix: str = "...") -> Column:
@@ -135,10 +167,6 @@ def sentences(line: Column) -> Column:
     return F.filter(F.split(_marked_sentences(line), _SENTENCE_BREAK), lambda s: s != "")
 
 
-def _occurrences(text: Column, char: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, char, ""))
-
-
 def sentence_counts(line: Column) -> Column:
     """STRUCT(sentences, words, characters) of one line, all BIGINT.
 
@@ -147,10 +175,10 @@ def sentence_counts(line: Column) -> Column:
     character per gap, sentences = breaks + 1, words = blanks + sentences.
     """
     marked = _marked_sentences(line)
-    breaks = _occurrences(marked, _SENTENCE_BREAK)
+    breaks = char_count(marked, _SENTENCE_BREAK)
     empty = marked == ""
     return F.struct(
         F.when(empty, 0).otherwise(breaks + 1).cast("bigint").alias("sentences"),
-        F.when(empty, 0).otherwise(_occurrences(marked, " ") + breaks + 1).cast("bigint").alias("words"),
+        F.when(empty, 0).otherwise(char_count(marked, " ") + breaks + 1).cast("bigint").alias("words"),
         (F.length(marked) - breaks).cast("bigint").alias("characters"),
     )

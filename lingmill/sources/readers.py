@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from lingmill.sources import schemas
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a source that is read in fewer splits than there are cores, by hash of its key.
+
+    A large input has more splits than cores and is left alone: no shuffle is added to it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def raw_pages(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines of fetched pages, gz or plain; broken lines are dropped."""
     return (
