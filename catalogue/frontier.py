@@ -11,6 +11,7 @@ from catalogue.robots import AGENT, valid_docs
 from lingmill.operators import frontier as fr
 from lingmill.operators import links as lk
 from lingmill.plans import crawl
+from lingmill.sources.shared import materialize
 
 BATCH = 100
 
@@ -79,11 +80,11 @@ UNION ALL SELECT 'seen', NULL, url FROM (SELECT url FROM x_seen UNION SELECT url
 """
 )
 def frontier_update(spark, sf):
+    """State and new links are stored tables, as between two rounds."""
     pages = src.pages(spark, sf)
-    found = lk.page_links(pages).select("url").unionByName(pages.select("url"))
-    waiting, seen = fr.frontier_update(
-        src.frontier(spark, sf), src.seen(spark, sf), _batch(spark, sf), found, 1, processed_rows=BATCH
-    )
+    found = materialize(lk.page_links(pages).select("url").unionByName(pages.select("url")))
+    seen, batch = materialize(src.seen(spark, sf)), materialize(_batch(spark, sf))
+    waiting, seen = fr.frontier_update(src.frontier(spark, sf), seen, batch, found, 1, processed_rows=BATCH)
     return waiting.select(F.lit("frontier").alias("state"), "pos", "url").unionByName(
         seen.select(F.lit("seen").alias("state"), F.lit(None).cast("bigint").alias("pos"), "url")
     )

@@ -107,7 +107,10 @@ def _resolve_on_host(base_rest: Column, rest: Column) -> Column:
     """Path, query and fragment of a link without host, from those of its base."""
     path, query = _path(rest), _query(rest)
     fragment = F.regexp_extract(rest, "(#.+)$", 1)
-    return F.when(path != "", F.concat(_join_path(_path(base_rest), path), query, fragment)).otherwise(
+    # parameters (`;...` of the last segment) stay out of the dots
+    bare = F.regexp_extract(path, "^((?:.*/)?[^/;]*)", 1)
+    params = F.regexp_extract(path, "^(?:.*/)?+[^/;]*+(;.*)", 1)
+    return F.when(path != "", F.concat(_join_path(_path(base_rest), bare), params, query, fragment)).otherwise(
         F.concat(_path(base_rest), F.when(query == "", _query(base_rest)).otherwise(query), fragment)
     )
 
@@ -121,7 +124,7 @@ def resolve(base: Column, href: Column) -> Column:
         return (
             F.when(href == "", base)
             .when((own != "") & (own != of_base), href)
-            .when(F.startswith(rest, F.lit("//")), F.concat(of_base, F.lit(":"), drop_empty_parts(rest)))
+            .when(F.startswith(rest, F.lit("//")), F.concat(of_base, F.lit(":"), rest))
             .otherwise(
                 F.concat(
                     of_base,
@@ -135,6 +138,7 @@ def resolve(base: Column, href: Column) -> Column:
     def parts(v: Column) -> Column:
         # the link without its scheme; an empty host is none
         rest = F.regexp_replace(F.regexp_replace(v["href"], _SCHEME, ""), "^//(?=[/?#]|$)", "")
+        rest = drop_empty_parts(rest)
         return bind(F.struct(v["base"].alias("base"), v["href"].alias("href"), rest.alias("rest")), joined)
 
     return bind(F.struct(_tidy(base).alias("base"), _tidy(href).alias("href")), parts)

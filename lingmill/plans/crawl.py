@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
-from lingmill.operators import fetch, frontier as fr, robots
+from lingmill.functions import urls
+from lingmill.operators import frontier as fr
+from lingmill.operators import robots
 from lingmill.operators.language import LanguageModel
 from lingmill.plans import parse
 from lingmill.sources import schemas
@@ -113,6 +115,10 @@ def crawl_round(
     batch = state.batch(round_no)
     # the seen set is scanned against the batch, which is bounded by n
     unseen = fr.frontier_unseen(batch, seen, n)
+    if n <= fr.BROADCAST_URLS:
+        # only the documents of the batch's origins are taken apart
+        origins = unseen.select(urls.origin(F.col("url")).alias("origin")).distinct()
+        docs = docs.join(F.broadcast(origins), "origin", "left_semi")
     decided = robots.robots_decide(unseen, docs, options.user_agent, options.robots_check)
     wanted = F.broadcast(decided.select("url", "can_fetch", "batch_pos")) if n <= fr.BROADCAST_URLS else decided
     # an inner join with the small batch filters the corpus in its scan; what the corpus
