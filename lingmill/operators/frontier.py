@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lingmill.functions import urls
 from lingmill.operators.ranking import CHUNK_WIDTH, row_rank, running_total
+from lingmill.sources.shared import materialize
 
 # Frontier positions of one round differ in this many bits; the round number stands above.
 POS_BITS = 48
@@ -74,8 +75,9 @@ def polite_batches(
     BIGINT column. Works for whole tables: see `ranking` for how hot domains are cut.
     """
     named = urls_df.withColumn("domain", urls.domain(F.col("url")))
-    passes = row_rank(named, ["domain"], order, "_pass", chunk_width)
-    firsts = named.groupBy("domain").agg(F.min(order).alias("_first"))
+    # read four times below, so it is written once
+    passes = materialize(row_rank(named, ["domain"], order, "_pass", chunk_width))
+    firsts = passes.filter("_pass = 0").select("domain", F.col(order).alias("_first"))
     placed = passes.join(firsts, "domain")
     placed = row_rank(placed, ["_pass"], "_first", "_place", chunk_width)
     sub = F.expr(f"_place div {int(batch_size)}L")
