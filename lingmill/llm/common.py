@@ -15,7 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def words_of(text: Column) -> Column:
     """ARRAY of the words of a text; none for NULL."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, BLANKS))
 
 
 def text_key(text: Column) -> tuple[Column, Column]:

@@ -7,6 +7,8 @@ that loses most of its words with them is rejected. All of it is DataFrame expre
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +38,11 @@ class LineLimits:
 
 def normalised_line(line: Column) -> Column:
     """Small letters, one blank between words, none at the ends, every digit a zero."""
-    one = F.trim(F.regexp_replace(F.lower(line), BLANKS, " "))
-    return F.regexp_replace(one, "[0-9]", "0")
+    small = F.trim(F.lower(line))
+    # few lines have other blanks than single spaces: plain substring tests spare the rest the expression
+    odd = reduce(or_, (F.contains(small, F.lit(blank)) for blank in ("  ", "\t", "\x0b", "\f", "\r")))
+    one = F.when(odd, F.trim(F.regexp_replace(small, BLANKS, " "))).otherwise(small)
+    return F.regexp_replace(one, "[1-9]", "0")
 
 
 def line_entries(text: Column) -> Column:
@@ -55,66 +60,54 @@ def line_entries(text: Column) -> Column:
     )
 
 
-def repeated_words(words: Column) -> Column:
-    """Number of words that stand in a window of 3 words found twice or more in the same text.
-
-    Windows are compared by a 64-bit hash within one text. Only texts that repeat a window pay for
-    finding where: the windows are sorted by hash, and equal neighbours give the places.
-    """
+def _windows_that_repeat(hashes: Column) -> Column:
+    """Places of the windows whose hash occurs twice or more: sorted by hash, they have an equal neighbour."""
+    ranked = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return bind(
+        ranked,
+        lambda r: F.array_compact(
+            F.transform(
+                r,
+                lambda x, i: F.when((F.get(r, i - 1)["h"] == x["h"]) | (F.get(r, i + 1)["h"] == x["h"]), x["i"]),
+            )
+        ),
+    )
 
-    def places(hashes: Column) -> Column:
-        ranked = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        return bind(
-            ranked,
-            lambda r: F.array_compact(
-                F.transform(
-                    r,
-                    lambda x, i: F.when(
-                        (F.get(r, i - 1)["h"] == x["h"]) | (F.get(r, i + 1)["h"] == x["h"]), x["i"]
-                    ),
-                )
-            ),
-        )
 
-    def covered(at: Column) -> Column:
-        second, third = F.transform(at, lambda i: i + 1), F.transform(at, lambda i: i + 2)
-        return F.size(F.array_distinct(F.concat(at, second, third)))
+def _words_under(places: Column) -> Column:
+    """Number of words that the 3-word windows at these places cover."""
+    second, third = F.transform(places, lambda i: i + 1), F.transform(places, lambda i: i + 2)
+    return F.size(F.array_distinct(F.concat(places, second, third)))
 
-    windows = F.when(
-        F.size(words) >= 3,
-        F.arrays_zip(
-            F.slice(words, 1, F.size(words) - 2).alias("a"),
-            F.slice(words, 2, F.size(words) - 2).alias("b"),
-            F.slice(words, 3, F.size(words) - 2).alias("c"),
-        ),
-    )
-    return bind(
-        F.transform(windows, lambda w: F.xxhash64(w["a"], w["b"], w["c"])),
-        lambda hashes: F.when(
-            F.size(F.array_distinct(hashes)) < F.size(hashes), bind(places(hashes), covered)
-        ).otherwise(0),
-    )
 
+def with_measures(rows: DataFrame, text: Column) -> DataFrame:
+    """`rows` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; NULL counts as empty.
 
-def base_measures(text: Column) -> Column:
-    """STRUCT(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words); NULL counts as empty."""
+    3-word windows are compared by a 64-bit hash within one text. Only texts that repeat a window pay
+    for finding where. The steps are columns of their own, so each is worked out once, in compiled code.
+    """
     whole = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda x: F.rlike(x, F.lit(_A_WORD)))
-    measured = bind(
-        words_of(text),
-        lambda words: F.struct(
-            F.size(words).cast("long").alias("n_words"),
-            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-            F.coalesce(repeated_words(words), F.lit(0)).cast("long").alias("n_repeat_words"),
-        ),
+    split = rows.select("*", words_of(text).alias("_words"), lines.alias("_lines"))
+    # the last two places have no whole window
+    windows = F.slice(
+        F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2))),
+        1,
+        F.greatest(F.size("_words") - 2, F.lit(0)),
     )
-    return F.struct(
-        measured["n_words"].alias("n_words"),
-        measured["word_chars"].alias("word_chars"),
+    hashed = split.select(
+        *rows.columns,
+        F.size("_words").cast("long").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count(whole, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        measured["n_repeat_words"].alias("n_repeat_words"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        windows.alias("_windows"),
     )
+    repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    places = F.when(repeats, _windows_that_repeat(F.col("_windows"))).otherwise(F.array().cast("array<int>"))
+    placed = hashed.select("*", places.alias("_places"))
+    counted = placed.withColumn("n_repeat_words", _words_under(F.col("_places")).cast("long"))
+    return counted.drop("_windows", "_places")
 
 
 def frequent_lines(docs: DataFrame, text: str, host: str, limits: LineLimits) -> tuple[DataFrame, DataFrame]:
@@ -182,8 +175,9 @@ def line_quality(
         F.xxhash64(host).alias("host"),
         h1.alias("h1"),
         h2.alias("h2"),
-        base_measures(F.col(text)).alias("m"),
-    ).select("id", "host", "h1", "h2", "m.*")
+        F.col(text).alias("text"),
+    )
+    rows = with_measures(rows, F.col("text")).drop("text")
     lost = removed_lines(docs, text, host, limits).select("host", "h1", "h2", "removed_words")
     joined = rows.join(lost, ["host", "h1", "h2"], "left").withColumn(
         "removed_words", F.coalesce("removed_words", F.lit(0))
@@ -201,7 +195,7 @@ def clean_lines_and_keep(
     """
     h1, h2 = text_key(F.col("row")[text])
     rows = docs.select(F.struct("*").alias("row")).select("row", F.xxhash64(F.col("row")[host]).alias("host"), h1.alias("h1"), h2.alias("h2"))
-    measured = rows.withColumn("m", base_measures(F.col("row")[text])).select("row", "host", "h1", "h2", "m.*")
+    measured = with_measures(rows, F.col("row")[text])
     lost = removed_lines(docs, text, host, limits)
     joined = measured.join(lost, ["host", "h1", "h2"], "left").withColumn(
         "removed_words", F.coalesce("removed_words", F.lit(0))

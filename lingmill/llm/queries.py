@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import lid, line_quality
+from lingmill.llm import lid, line_quality, ring
 from lingmill.llm.common import table
 
 
