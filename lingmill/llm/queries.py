@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import lid, line_quality, ring
+from lingmill.llm import lid, line_quality, ring, simhash
 from lingmill.llm.common import table
 
 
@@ -72,7 +72,11 @@ SELECT *, n_words < 50 OR n_repeat_words > 0.5::DOUBLE * n_words AS base_failed,
 FROM measured
 """
 
+def op4_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
-QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality)}
+
+QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op4_simhash_covering)}
 
 ORACLE = {"op2_line_quality": _OP2_SQL}
