@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import lid, line_quality, ring, simhash
+from lingmill.llm import lid, line_quality, ring, simhash, topk
 from lingmill.llm.common import table
 
 
@@ -76,7 +76,28 @@ def op4_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
-QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op4_simhash_covering)}
 
-ORACLE = {"op2_line_quality": _OP2_SQL}
+_OP6_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id,
+           list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id
+    WHERE a.vec_id % 20 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
+
+QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op4_simhash_covering, op6_exact_top_k)}
+
+ORACLE = {"op2_line_quality": _OP2_SQL, "op6_exact_top_k": _OP6_SQL}
