@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import lid, line_quality, ring, simhash, topk
+from lingmill.llm import lid, line_quality, pii, ring, simhash, topk
 from lingmill.llm.common import table
 
 
@@ -97,7 +97,16 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 20
 """
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter("spans", pii.is_kind(kind))).cast("long").alias(f"n_{kind}") for kind in pii.BASE),
+        F.sha2(pii.span_digest(F.col("spans"), pii.BASE), 256).alias("base_sha256"),
+        pii.span_digest(F.col("spans"), pii.KINDS).alias("spans"),
+    )
+
 
-QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op4_simhash_covering, op6_exact_top_k)}
+QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op4_simhash_covering, op6_exact_top_k, op9_pii)}
 
 ORACLE = {"op2_line_quality": _OP2_SQL, "op6_exact_top_k": _OP6_SQL}
