@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import lid, line_quality, pii, ring, simhash, topk
+from lingmill.llm import lid, line_quality, pieces, pii, ring, simhash, topk
 from lingmill.llm.common import table
 
 
@@ -106,7 +106,14 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.span_digest(F.col("spans"), pii.KINDS).alias("spans"),
     )
 
+#: The vocabulary that op8 and the pipeline use: a file on the driver, which sends its pieces to the executors.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
-QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op4_simhash_covering, op6_exact_top_k, op9_pii)}
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), pieces.PieceModel.load(PIECES))
+
+
+QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op4_simhash_covering, op6_exact_top_k, op8_sentencepiece, op9_pii)}
 
 ORACLE = {"op2_line_quality": _OP2_SQL, "op6_exact_top_k": _OP6_SQL}
