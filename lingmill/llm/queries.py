@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import lid, line_quality, pieces, pii, ring, simhash, topk
+from lingmill.llm import licenses, lid, line_quality, mixing, pieces, pii, ring, simhash, topk
 from lingmill.llm.common import table
 
 
@@ -113,7 +113,34 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), pieces.PieceModel.load(PIECES))
 
+#: Weights of the domains that `labels` tells apart, for op5 and the pipeline.
+TARGETS = {"good": 0.8, "plain": 0.15, "toxic": 0.05}
+#: Good and plain documents are not thinned out to reach them.
+MIXING = mixing.MixingOptions(whole=("good", "plain"))
 
-QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op4_simhash_covering, op6_exact_top_k, op8_sentencepiece, op9_pii)}
+
+def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, domain) of the labelled documents: toxic, or good or plain by quality."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "plain")
+    return table(spark, sf_dir, "labels").select("doc_id", domain.alias("domain"))
+
+
+def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mixing_rates(docs, labelled_domains(spark, sf_dir), TARGETS, options=MIXING)
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    span = F.transform("found", lambda x: F.concat_ws(":", x["license"], x["start"], x["end"]))
+    return found.select(
+        "doc_id",
+        F.size("found").cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct("found.license")), ",").alias("licenses"),
+        F.array_max("found.score").alias("best_score"),
+        F.array_join(span, ",").alias("spans"),
+    )
+
+
+QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op4_simhash_covering, op5_soft_mixing, op6_exact_top_k, op7_license_scan, op8_sentencepiece, op9_pii)}
 
 ORACLE = {"op2_line_quality": _OP2_SQL, "op6_exact_top_k": _OP6_SQL}
