@@ -177,7 +177,8 @@ def line_quality(
         h2.alias("h2"),
         F.col(text).alias("text"),
     )
-    rows = with_measures(rows, F.col("text")).drop("text")
+    # written: a caller's filter must not carry the measures into the expressions they are made of
+    rows = materialize(with_measures(rows, F.col("text")).drop("text"))
     lost = removed_lines(docs, text, host, limits).select("host", "h1", "h2", "removed_words")
     joined = rows.join(lost, ["host", "h1", "h2"], "left").withColumn(
         "removed_words", F.coalesce("removed_words", F.lit(0))
@@ -193,13 +194,19 @@ def clean_lines_and_keep(
 
     Same verdicts as `line_quality`. A text without frequent lines is returned as it is.
     """
-    h1, h2 = text_key(F.col("row")[text])
-    rows = docs.select(F.struct("*").alias("row")).select("row", F.xxhash64(F.col("row")[host]).alias("host"), h1.alias("h1"), h2.alias("h2"))
-    measured = with_measures(rows, F.col("row")[text])
+    h1, h2 = text_key(F.col(text))
+    keyed = docs.select(F.xxhash64(host).alias("host"), h1.alias("h1"), h2.alias("h2"), F.col(text).alias("text"))
+    # written before it is filtered: a filter must not carry the measures into the expressions they are made of
+    measured = materialize(with_measures(keyed, F.col("text")).drop("text").dropDuplicates(["host", "h1", "h2"]))
     lost = removed_lines(docs, text, host, limits)
     joined = measured.join(lost, ["host", "h1", "h2"], "left").withColumn(
         "removed_words", F.coalesce("removed_words", F.lit(0))
     )
+    verdicts = materialize(_judged(joined, limits).filter("kept").select("host", "h1", "h2", "removed"))
+    h1, h2 = text_key(F.col("row")[text])
+    rows = docs.select(F.struct("*").alias("row")).select(
+        "row", F.xxhash64(F.col("row")[host]).alias("host"), h1.alias("h1"), h2.alias("h2")
+    )
     left = F.array_join(
         F.filter(
             F.split(F.col("row")[text], "\n"),
@@ -207,10 +214,7 @@ def clean_lines_and_keep(
         ),
         "\n",
     )
-    kept = _judged(joined, limits).filter("kept")
-    return kept.select(
-        *(
-            F.when(F.col("removed").isNull(), F.col("row")[c]).otherwise(left).alias(c) if c == text else F.col("row")[c].alias(c)
-            for c in docs.columns
-        )
+    body = F.when(F.col("removed").isNull(), F.col("row")[text]).otherwise(left)
+    return rows.join(verdicts, ["host", "h1", "h2"]).select(
+        *(body.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns)
     )

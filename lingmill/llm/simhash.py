@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lingmill.llm.common import text_key
 from lingmill.llm.components import components
 from lingmill.sources.shared import materialize
 
@@ -93,9 +94,23 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     return shared.select(F.get("near", F.lit(0)).alias("a"), F.explode(F.slice("near", 2, BITS)).alias("b")).distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3
-) -> DataFrame:
+def _labelled(docs: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
+    """(id, h1, h2, fp, component, component_id) of every row; h1 and h2 stand for the text."""
+    h1, h2 = text_key(F.col(text))
+    prints = materialize(
+        docs.select(F.col(id_col).alias("id"), h1.alias("h1"), h2.alias("h2"), simhash(F.col(text), shingle).alias("fp"))
+    )
+    least = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")))
+    linked = components(fingerprint_links(least.select("fp")))
+    grouped = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "component", F.coalesce("component", "fp")
+    )
+    ids = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    by_print = materialize(grouped.select("fp", "component").join(ids, "component"))
+    return prints.join(by_print, "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """One row per input row: id, fingerprint (BIGINT), component_id (the smallest id that links reach).
 
     NULL, empty and blank texts have the fingerprint 0 and link like any other. Equal texts, however
@@ -103,15 +118,29 @@ def near_duplicates(
     it has no other id. Repeated rows stay repeated. An empty table gives an empty result. Other columns are
     neither read nor returned.
     """
-    prints = materialize(docs.select(F.col(id_col).alias("id"), simhash(F.col(text), shingle).alias("fp")))
-    least = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")))
-    links = materialize(fingerprint_links(least.select("fp")))
-    linked = components(links)
-    grouped = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp")
-    )
-    ids = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_print = materialize(grouped.select("fp", "component").join(ids, "component").select("fp", "component_id"))
-    return prints.join(by_print, "fp").select(
-        F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id"
-    )
+    found = _labelled(docs, id_col, text, shingle)
+    return found.select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
+    """One row of `docs`, with all its columns, for each group of near-duplicates.
+
+    It is the row with the smallest id, NULL ids last, then by a hash of the text; of repeated rows any one.
+    """
+    found = materialize(_labelled(docs, id_col, text, shingle))
+    by_key = F.struct(F.col("id").isNull(), "id", "h1", "h2")
+    chosen = found.groupBy("component").agg(F.min(by_key).alias("key")).select("key.id", "key.h1", "key.h2")
+    counted = found.groupBy("id", "h1", "h2").agg(F.count("*").alias("rows"))
+    same = counted["id"].eqNullSafe(chosen["id"]) & (counted["h1"] == chosen["h1"]) & (counted["h2"] == chosen["h2"])
+    kept = materialize(counted.join(chosen, same, "left_semi"))
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        h1, h2 = text_key(F.col("row")[text])
+        rows = docs.select(F.struct("*").alias("row")).select("row", F.col("row")[id_col].alias("id"), h1.alias("h1"), h2.alias("h2"))
+        here = rows["id"].eqNullSafe(keys["id"]) & (rows["h1"] == keys["h1"]) & (rows["h2"] == keys["h2"])
+        return rows.join(keys, here, "left_semi")
+
+    # only rows that are there several times have to be brought together
+    once, several = rows_of(kept.filter("rows = 1")), rows_of(kept.filter("rows > 1"))
+    both = once.unionByName(several.dropDuplicates(["id", "h1", "h2"]))
+    return both.select(*(F.col("row")[c].alias(c) for c in docs.columns))
