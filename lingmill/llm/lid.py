@@ -132,7 +132,7 @@ def lid_compress(docs: DataFrame, model: LidModel, id_col: str = "doc_id", text:
             best, score = [], []
             for value in batch:
                 data = _letters(value)
-                blocks = [data[i : i + options.block_bytes] for i in range(0, len(data), options.block_bytes)]
+                blocks = [data[i : i + options.block_bytes] for i in range(0, max(1, len(data)), options.block_bytes)]
                 winner, margin = _shortest(blocks, quick)
                 if margin < options.fine_margin:
                     winner, margin = _shortest(blocks, fine)

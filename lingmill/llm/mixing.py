@@ -130,7 +130,7 @@ def _softmax_regression(lengths, columns, target, weights, bias, options):
         slope = np.stack(
             [np.bincount(columns, error[documents, d], len(used)) for d in range(target.shape[1])], axis=1
         )
-        slope += options.shrink * part
+        slope = slope + options.shrink * part
         sums, bias_sums = sums + slope**2, bias_sums + error.sum(0) ** 2
         part -= 0.3 * slope / np.sqrt(sums)
         bias = bias - 0.3 * error.sum(0) / np.sqrt(bias_sums)
