@@ -147,7 +147,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.candidates(part, "doc_id", "text", "source", secrets.SecretOptions())
     return secrets.scan_secrets(docs, secrets.findings_by_rule(found))
 
+def op3_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ring.ring_shards(table(spark, sf_dir, "documents")).withColumns(
+        {"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}
+    )
+
 
-QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op4_simhash_covering, op5_soft_mixing, op6_exact_top_k, op7_license_scan, op8_sentencepiece, op9_pii, op10_secret_scan)}
+QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op3_ring_shards, op4_simhash_covering, op5_soft_mixing, op6_exact_top_k, op7_license_scan, op8_sentencepiece, op9_pii, op10_secret_scan)}
 
 ORACLE = {"op2_line_quality": _OP2_SQL, "op6_exact_top_k": _OP6_SQL}
