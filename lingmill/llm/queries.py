@@ -72,10 +72,12 @@ SELECT *, n_words < 50 OR n_repeat_words > 0.5::DOUBLE * n_words AS base_failed,
 FROM measured
 """
 
+
 def op4_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -97,6 +99,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 20
 """
 
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detect(table(spark, sf_dir, "documents"))
     return found.select(
@@ -129,6 +132,7 @@ def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mixing_rates(docs, labelled_domains(spark, sf_dir), TARGETS, options=MIXING)
 
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     span = F.transform("found", lambda x: F.concat_ws(":", x["license"], x["start"], x["end"]))
@@ -140,6 +144,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(span, ",").alias("spans"),
     )
 
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     # findings of four fifths of the documents, labelled where their context is clear
@@ -147,12 +152,27 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.candidates(part, "doc_id", "text", "source", secrets.SecretOptions())
     return secrets.scan_secrets(docs, secrets.findings_by_rule(found))
 
+
 def op3_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.ring_shards(table(spark, sf_dir, "documents")).withColumns(
         {"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}
     )
 
 
-QUERIES = {fn.__name__: fn for fn in (op1_lid_compression, op2_line_quality, op3_ring_shards, op4_simhash_covering, op5_soft_mixing, op6_exact_top_k, op7_license_scan, op8_sentencepiece, op9_pii, op10_secret_scan)}
+QUERIES = {
+    fn.__name__: fn
+    for fn in (
+        op1_lid_compression,
+        op2_line_quality,
+        op3_ring_shards,
+        op4_simhash_covering,
+        op5_soft_mixing,
+        op6_exact_top_k,
+        op7_license_scan,
+        op8_sentencepiece,
+        op9_pii,
+        op10_secret_scan,
+    )
+}
 
 ORACLE = {"op2_line_quality": _OP2_SQL, "op6_exact_top_k": _OP6_SQL}

@@ -205,5 +205,5 @@ def test_pii_checks_and_context():
 def test_secrets_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("crc32(cast(doc_id as string)) % 5 = 0")
     found = queries.op10_secret_scan(spark, "/root/testdata/sf0.1").filter("is_secret").join(docs, "doc_id")
-    planted = docs.agg(F.sum(F.regexp_count("text", F.lit('token = "[0-9a-f]{40}"')))).first()[0]
+    planted = docs.agg(F.sum(F.regexp_count("text", F.lit('(?i)token = "[0-9a-f]{40}"')))).first()[0]
     assert planted and found.count() == planted
