@@ -30,7 +30,9 @@ MARK = "▁"
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
 UNKNOWN_PENALTY = 10.0
 #: Words kept with their pieces at a time, and the length up to which they are.
-_CACHE, _CACHED_CHARS = 1 << 18, 64
+_CACHE, _CACHED_CHARS = 1 << 16, 64
+#: Rows whose ids are given back at a time: ids take more memory than their text.
+_ROWS = 200
 _NEVER = float("-inf")
 
 
@@ -192,12 +194,13 @@ def encode(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text: str
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(model)
         for batch in batches:
-            found, same = [], []
-            for value in batch:
-                ids = None if value is None else encoder.encode(value)
-                same.append(None if value is None else encoder.decode(ids) == value)
-                found.append(None if ids is None else np.array(ids, dtype=np.int32))
-            yield pd.DataFrame({"ids": pd.Series(found, dtype=object), "round_trip": pd.Series(same, dtype=object)})
+            for at in range(0, len(batch), _ROWS):
+                found, same = [], []
+                for value in batch.iloc[at : at + _ROWS]:
+                    ids = None if value is None else encoder.encode(value)
+                    same.append(None if value is None else encoder.decode(ids) == value)
+                    found.append(None if ids is None else np.array(ids, dtype=np.int32))
+                yield pd.DataFrame({"ids": pd.Series(found, dtype=object), "round_trip": pd.Series(same, dtype=object)})
 
     rows = docs.select(F.col(id_col).alias(id_col), pieces(F.col(text)).alias("found"))
     return rows.select(
