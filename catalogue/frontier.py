@@ -63,12 +63,12 @@ def frontier_shuffle(spark, sf):
 
 @query("SELECT batch_pos, url, host FROM x_batch WHERE url NOT IN (SELECT url FROM x_seen)")
 def frontier_unseen(spark, sf):
-    return fr.frontier_unseen(_batch(spark, sf), src.seen(spark, sf), BATCH)
+    return fr.frontier_unseen(_batch(spark, sf), src.seen(spark, sf))
 
 
 @query("SELECT batch_pos, url, host FROM x_batch WHERE url IN (SELECT url FROM x_seen)")
 def frontier_discard(spark, sf):
-    return fr.frontier_discard(_batch(spark, sf), src.seen(spark, sf), BATCH)
+    return fr.frontier_discard(_batch(spark, sf), src.seen(spark, sf))
 
 
 @query(
@@ -84,7 +84,7 @@ def frontier_update(spark, sf):
     pages = src.pages(spark, sf)
     found = materialize(lk.page_links(pages).select("url").unionByName(pages.select("url")))
     seen, batch = materialize(src.seen(spark, sf)), materialize(_batch(spark, sf))
-    waiting, seen = fr.frontier_update(src.frontier(spark, sf), seen, batch, found, 1, processed_rows=BATCH)
+    waiting, seen = fr.frontier_update(src.frontier(spark, sf), seen, batch, found, 1)
     return waiting.select(F.lit("frontier").alias("state"), "pos", "url").unionByName(
         seen.select(F.lit("seen").alias("state"), F.lit(None).cast("bigint").alias("pos"), "url")
     )

@@ -13,13 +13,14 @@ from catalogue.registry import part
 from lingmill.functions import tags, urls
 from lingmill.operators import lines as ln
 from lingmill.operators import links as lk
-from lingmill.sources.readers import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf}/{name}.parquet")
+    # these two come as files of one row group, which Spark cannot split: dealing out the columns that a query
+    # needs gives all cores work. Only the catalogue does so; no operator of the library depends on it.
     key = {"documents": "doc_id", "pages": "page_id"}.get(name)
-    return spread(df, key) if key else df
+    return df.repartition(key) if key else df
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:

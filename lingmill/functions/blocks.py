@@ -144,7 +144,8 @@ def blocks(html_col: Column, mode: str = "tree") -> Column:
     def find_blocks(pages: pd.Series) -> pd.Series:
         return pages.map(lambda page: page_blocks(page, html5))
 
-    return find_blocks(html_col)
+    # the dearest step of a page: marked so that the planner does not work it out again for each filter above it
+    return find_blocks.asNondeterministic()(html_col)
 
 
 # Workers need no copy of the package: this module's functions travel with the job.

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from html import unescape
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,19 +12,28 @@ from lingmill.functions.bind import bind
 
 # One attribute: name, then the value bare or in quotes. A quoted value is eaten whole, so a
 # name inside another attribute's value is never taken for an attribute.
-_ATTR = r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+[^\s>]*))?"""
-_ATTRS = r"""((?:[\s/](?:[^>"']|"[^"]*"|'[^']*')*)?)"""
+# Possessive (`++`, `*+`): such a repetition takes no stack however long the tag is.
+_ATTR = r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++[^\s>]*+))?"""
+_ATTRS = r"""((?:[\s/](?:[^>"']++|"[^"]*+"|'[^']*+')*+)?+)"""
+
+# A character reference: decimal, hexadecimal or named, its semicolon often left out.
+_REFERENCE = r"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[A-Za-z][A-Za-z0-9]{0,31};?)"
+
+# Names with the characters that they stand for, and the numbers that stand for other characters than their own, as
+# HTML defines them. Both tables are taken from the standard library.
+_NUMBERS = {str(n): unescape(f"&#{n};") for n in (0, 13, *range(0x80, 0xA0))}
+# One text each, searched for "\0key\1": a map of this size would swell every plan that it is in.
+_BY_NAME = "".join(f"\0{k}\1{v}" for k, v in html5.items()) + "\0"
+_BY_NUMBER = "".join(f"\0{k}\1{v}" for k, v in _NUMBERS.items()) + "\0"
+_OLD_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+
 
-# Entities decoded in attribute values, `&` last so that nothing is decoded twice.
-_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&nbsp;", "\xa0"),
-    ("&amp;", "&"),
-)
+def _looked_up(table: str, key: Column) -> Column:
+    """The value of a key in such a text, NULL if it has none."""
+    mark = F.concat(F.lit("\0"), key, F.lit("\1"))
+    value = F.call_function("substring_index", F.lit(table), mark, F.lit(-1))
+    value = F.substring_index(value, "\0", 1)
+    return F.when(F.contains(F.lit(table), mark), value)
 
 
 def visible_markup(html: Column) -> Column:
@@ -51,11 +63,45 @@ def attribute(tag: Column, name: str) -> Column:
     return bind(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2"), decode_entities)
 
 
+def _character(number: Column) -> Column:
+    """The character with this number (BIGINT), as HTML reads it: replaced if it cannot be one, none if it is no text."""
+    replaced = _looked_up(_BY_NUMBER, number.cast("string"))
+    wrong = number.isNull() | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    silent = (
+        number.between(1, 8) | number.between(0xE, 0x1F) | number.between(0x7F, 0x9F) | number.between(0xFDD0, 0xFDEF)
+        | (number == 0xB) | (number.bitwiseAND(0xFFFE) == 0xFFFE)
+    )
+    own = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.when(wrong, "\ufffd").when(replaced.isNotNull(), replaced).when(silent, "").otherwise(own)
+
+
+def _decoded(reference: Column) -> Column:
+    digits = F.regexp_extract(reference, "([0-9a-fA-F]+);?$", 1)
+    # more digits than a character can have: no character, however long the number
+    short = F.regexp_replace(digits, "^0+(?=.)", "")
+    base = F.when(F.rlike(reference, F.lit("^&#[xX]")), 16).otherwise(10)
+    number = F.when(F.length(short) <= 8, F.conv(short, 16, 10).cast("bigint"))
+    number = F.when(base == 16, number).otherwise(F.when(F.length(short) <= 8, short.cast("bigint")))
+    name = F.substring(reference, 2, 40)
+    # without a semicolon, the longest of the old names that the text begins with
+    start = F.regexp_extract(name, f"^({_OLD_NAMES})", 1)
+    return F.when(F.startswith(reference, F.lit("&#")), _character(number)).otherwise(
+        F.coalesce(
+            _looked_up(_BY_NAME, name),
+            F.concat(_looked_up(_BY_NAME, start), F.substring(reference, F.length(start) + 2, F.lit(40))),
+            reference,
+        )
+    )
+
+
 def decode_entities(text: Column) -> Column:
-    out = text
-    for entity, char in _ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+    """All character references decoded, decimal, hexadecimal and named, as the standard library's `unescape` does."""
+    found = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
+    # the same expression parts the text, so there is one part more than there are references
+    between = F.split(text, _REFERENCE)
+    pieces = F.transform(found, lambda r, i: F.concat(F.get(between, i), _decoded(r)))
+    whole = F.concat(F.array_join(pieces, ""), F.element_at(between, -1))
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
 
 
 def hrefs(html: Column) -> Column:

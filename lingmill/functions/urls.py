@@ -124,7 +124,7 @@ def resolve(base: Column, href: Column) -> Column:
         return (
             F.when(href == "", base)
             .when((own != "") & (own != of_base), href)
-            .when(F.startswith(rest, F.lit("//")), F.concat(of_base, F.lit(":"), rest))
+            .when(v["has_host"], F.concat(of_base, F.lit(":"), rest))
             .otherwise(
                 F.concat(
                     of_base,
@@ -137,9 +137,14 @@ def resolve(base: Column, href: Column) -> Column:
 
     def parts(v: Column) -> Column:
         # the link without its scheme; an empty host is none
-        rest = F.regexp_replace(F.regexp_replace(v["href"], _SCHEME, ""), "^//(?=[/?#]|$)", "")
-        rest = drop_empty_parts(rest)
-        return bind(F.struct(v["base"].alias("base"), v["href"].alias("href"), rest.alias("rest")), joined)
+        bare = F.regexp_replace(v["href"], _SCHEME, "")
+        # decided here: without its empty host a path may begin with two slashes as well
+        has_host = F.rlike(bare, F.lit("^//[^/?#]"))
+        host = F.regexp_extract(bare, "^(//[^/?#]+)", 1)
+        rest = F.concat(host, drop_empty_parts(F.regexp_replace(bare, "^//[^/?#]*", "")))
+        return bind(
+            F.struct(v["base"].alias("base"), v["href"].alias("href"), rest.alias("rest"), has_host.alias("has_host")), joined
+        )
 
     return bind(F.struct(_tidy(base).alias("base"), _tidy(href).alias("href")), parts)
 

@@ -15,9 +15,6 @@ from lingmill.sources.shared import materialize
 # Frontier positions of one round differ in this many bits; the round number stands above.
 POS_BITS = 48
 
-# Look-ahead windows up to this many URLs are small enough to be broadcast.
-BROADCAST_URLS = 200_000
-
 
 def shuffled_pos(url: Column, round_no: int | Column, seed: int = 0) -> Column:
     """Position of a URL: rounds in order, and within a round a fixed pseudo-random order.
@@ -89,39 +86,27 @@ def polite_batches(
     )
 
 
-def _matches(urls_df: DataFrame, batch: DataFrame, batch_rows: int | None) -> DataFrame:
-    """The other side of a join with a batch: broadcast if its row bound is known and small."""
-    small = batch.select("url")
-    if batch_rows is not None and batch_rows <= BROADCAST_URLS:
-        return F.broadcast(small)
-    return small
-
-
-def frontier_unseen(batch: DataFrame, seen: DataFrame, batch_rows: int | None = None) -> DataFrame:
+def frontier_unseen(batch: DataFrame, seen: DataFrame) -> DataFrame:
     """URLs of the batch that are not in the seen set.
 
-    With a bound on the batch, the big seen set is scanned once and never shuffled: first the
-    seen URLs that are in the batch are found with the batch broadcast, then those few are
-    taken off the batch.
+    First the seen URLs that are in the batch are found, then those few are taken off the batch. A batch is a
+    stored table: where the planner sees that it is small, the big seen set is scanned once and not shuffled.
     """
-    return batch.join(_known(batch, seen, batch_rows), "url", "left_anti")
+    return batch.join(_known(batch, seen), "url", "left_anti")
 
 
-def frontier_discard(batch: DataFrame, seen: DataFrame, batch_rows: int | None = None) -> DataFrame:
+def frontier_discard(batch: DataFrame, seen: DataFrame) -> DataFrame:
     """URLs of the batch that are in the seen set."""
-    return batch.join(_known(batch, seen, batch_rows), "url", "left_semi")
+    return batch.join(_known(batch, seen), "url", "left_semi")
 
 
-def _known(batch: DataFrame, seen: DataFrame, batch_rows: int | None) -> DataFrame:
-    if batch_rows is None or batch_rows > BROADCAST_URLS:
-        return seen.select("url")
-    hits = seen.select("url").join(_matches(seen, batch, batch_rows), "url", "left_semi").distinct()
-    return F.broadcast(hits)
+def _known(batch: DataFrame, seen: DataFrame) -> DataFrame:
+    return seen.select("url").join(batch.select("url"), "url", "left_semi").distinct()
 
 
-def without_urls(frontier: DataFrame, batch: DataFrame, batch_rows: int | None = None) -> DataFrame:
+def without_urls(frontier: DataFrame, batch: DataFrame) -> DataFrame:
     """Frontier minus the URLs of a batch (done or given up)."""
-    return frontier.join(_matches(frontier, batch, batch_rows), "url", "left_anti")
+    return frontier.join(batch.select("url"), "url", "left_anti")
 
 
 def drop_known(new: DataFrame, known: DataFrame) -> DataFrame:
@@ -142,18 +127,15 @@ def frontier_update(
     new_links: DataFrame,
     round_no: int,
     seed: int = 0,
-    processed_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Frontier and seen set after a round.
 
     Processed URLs leave the frontier and become seen. New links are appended in
     pseudo-random order, unless they are seen, processed or already waiting.
     """
-    waiting = without_urls(frontier, processed, processed_rows)
+    waiting = without_urls(frontier, processed)
     seen_after = seen.select("url").unionByName(
-        processed.select("url").distinct().join(seen.select("url"), "url", "left_anti")
-        if processed_rows is None
-        else frontier_unseen(processed.select("url").distinct(), seen, processed_rows)
+        frontier_unseen(processed.select("url").distinct(), seen)
     )
     fresh = drop_known(new_links, seen_after.unionByName(waiting.select("url")))
     added = fresh.select(shuffled_pos(F.col("url"), round_no, seed).alias("pos"), "url")

@@ -15,8 +15,6 @@ from lingmill.functions import urls
 from lingmill.sources.shared import materialize
 
 # A model is broadcast only if its table is estimated below this many bytes.
-BROADCAST_LIMIT = 256 << 20
-MAX_LANGUAGES = 2000
 
 
 def trigrams(text: Column) -> Column:
@@ -68,21 +66,14 @@ class LanguageModel:
         return next(label for label, u in zip(self.languages, self.unseen) if u == best)
 
     def lookup(self) -> DataFrame:
-        """The gains, marked for broadcast if they are surely small enough.
-
-        Beyond that the join is an ordinary shuffled one, whose hot trigrams adaptive
-        execution splits.
-        """
-        row_bytes = 64 + 16 * len(self.languages)
-        return F.broadcast(self.gains) if self.n_trigrams * row_bytes <= BROADCAST_LIMIT else self.gains
+        """The gains. They are a stored table: the planner knows their size and picks the join."""
+        return self.gains
 
 
 def lid_train(lines: DataFrame, text_col: str, label_col: str) -> LanguageModel:
     """Fit a model on labelled lines. Runs jobs; the driver holds one number per language."""
     counts = materialize(trigram_counts(lines, text_col, label_col))
-    per_language = counts.groupBy("language").agg(F.sum("n").alias("total")).limit(MAX_LANGUAGES + 1).collect()
-    if len(per_language) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: is {label_col!r} a label column?")
+    per_language = counts.groupBy("language").agg(F.sum("n").alias("total")).collect()
     totals = {row["language"]: row["total"] for row in per_language}
     vocabulary = counts.agg(F.countDistinct("trigram")).first()[0]
     languages = sorted(totals)
@@ -94,7 +85,7 @@ def lid_train(lines: DataFrame, text_col: str, label_col: str) -> LanguageModel:
     unseen = {row["language"]: row["unseen"] for row in unseen_rows.collect()}
     gain = _micro_log(F.col("n") + 1, F.col("total") + F.lit(vocabulary)) - F.col("unseen")
     wide = (
-        counts.join(F.broadcast(unseen_rows), "language")
+        counts.join(unseen_rows, "language")
         .groupBy("trigram")
         .agg(
             *[

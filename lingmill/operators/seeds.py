@@ -44,7 +44,7 @@ def domains_per_language(index: DataFrame, order: str) -> DataFrame:
 
 def with_scripts(index: DataFrame, languages: DataFrame) -> DataFrame:
     """Add `lang_script`; rows in a language that the table does not have are left out."""
-    table = _one_per_code(languages)
+    table = _code_scripts(languages)
     return index.join(table, index["content_languages"] == table["iso6393"]).select(
         *index.columns, F.concat_ws("_", "iso6393", "iso15924").alias("lang_script")
     )
@@ -52,15 +52,15 @@ def with_scripts(index: DataFrame, languages: DataFrame) -> DataFrame:
 
 def unmapped_languages(index: DataFrame, languages: DataFrame) -> DataFrame:
     """Languages of the index that the table does not have, with their number of rows."""
-    table = _one_per_code(languages)
+    table = _code_scripts(languages)
     lost = index.join(table, index["content_languages"] == table["iso6393"], "left_anti")
     return urls_per_language(lost)
 
 
-def _one_per_code(languages: DataFrame) -> DataFrame:
-    """One script per code. No join strategy is forced: the planner broadcasts the table when
+def _code_scripts(languages: DataFrame) -> DataFrame:
+    """Each script of a code once. No join strategy is forced: the planner broadcasts the table when
     it sees that it is small."""
-    return languages.groupBy("iso6393").agg(F.min("iso15924").alias("iso15924"))
+    return languages.select("iso6393", "iso15924").distinct()
 
 
 def seed_urls(index: DataFrame, languages: DataFrame, order: str) -> DataFrame:

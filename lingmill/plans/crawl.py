@@ -20,7 +20,7 @@ from lingmill.operators import robots
 from lingmill.operators.language import LanguageModel
 from lingmill.plans import parse
 from lingmill.sources import schemas
-from lingmill.sources.shared import run_folder
+from lingmill.sources.shared import materialize, run_folder
 
 
 @dataclass(frozen=True)
@@ -55,7 +55,10 @@ class CrawlState:
         try:
             done = self.spark.read.schema("finished INT").parquet(f"{self.folder}/progress")
             return done.agg(F.max("finished")).first()[0]
-        except AnalysisException:
+        except AnalysisException as error:
+            # only a folder that is not there means a new crawl; anything else must not lead to overwriting one
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def frontier(self, round_no: int) -> DataFrame:
@@ -114,16 +117,16 @@ def crawl_round(
     state.write(fr.frontier_batch(frontier, n, options.lookahead), "batch", round_no)
     batch = state.batch(round_no)
     # the seen set is scanned against the batch, which is bounded by n
-    unseen = fr.frontier_unseen(batch, seen, n)
-    if n <= fr.BROADCAST_URLS:
-        # only the documents of the batch's origins are taken apart
-        origins = unseen.select(urls.origin(F.col("url")).alias("origin")).distinct()
-        docs = docs.join(F.broadcast(origins), "origin", "left_semi")
+    unseen = materialize(fr.frontier_unseen(batch, seen))
+    # only the documents of the batch's origins are taken apart
+    origins = unseen.select(urls.origin(F.col("url")).alias("origin")).distinct()
+    docs = docs.join(origins, "origin", "left_semi")
     decided = robots.robots_decide(unseen, docs, options.user_agent, options.robots_check)
-    wanted = F.broadcast(decided.select("url", "can_fetch", "batch_pos")) if n <= fr.BROADCAST_URLS else decided
+    # stored, so that the planner knows its size when it picks the join with the corpus
+    decided = materialize(decided.select("url", "can_fetch", "batch_pos"))
     # an inner join with the small batch filters the corpus in its scan; what the corpus
     # lacks is added after, so that no side is shuffled
-    found = corpus.join(wanted.filter("can_fetch"), "url").select("url", "html", F.col("status").cast("int"))
+    found = corpus.join(decided.filter("can_fetch"), "url").select("url", "html", F.col("status").cast("int"))
     fetched = decided.select("url", "can_fetch", "batch_pos").join(found, "url", "left").select(
         "url",
         F.when(F.coalesce("status", F.lit(-1)).between(200, 299), F.col("html")).alias("html"),
@@ -146,7 +149,7 @@ def crawl_round(
 
     # everything picked leaves the frontier: done, forbidden, or seen before
     state.write(pages.select("url"), "seen", round_no)
-    waiting = fr.without_urls(frontier, batch, n)
+    waiting = fr.without_urls(frontier, batch)
     known = state.seen(round_no).unionByName(waiting.select("url"))
     fresh = fr.drop_known(parse.link_rows(parsed), known)
     added = fresh.select(fr.shuffled_pos(F.col("url"), round_no, options.seed).alias("pos"), "url")

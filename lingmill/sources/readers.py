@@ -10,15 +10,6 @@ from pyspark.sql import functions as F
 from lingmill.sources import schemas
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a source that is read in fewer splits than there are cores, by hash of its key.
-
-    A large input has more splits than cores and is left alone: no shuffle is added to it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def raw_pages(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines of fetched pages, gz or plain; broken lines are dropped."""
     return (
@@ -95,19 +86,21 @@ def crawl_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def language_table(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """Language name, ISO 639-3 code and ISO 15924 script, one row per code."""
+    """Language name, ISO 639-3 code and ISO 15924 script, one row per code and script."""
     if path is not None:
         df = spark.read.schema(schemas.LANGUAGE_ROW).option("header", True).csv(path)
     else:
         df = spark.createDataFrame(LANGUAGES, schemas.LANGUAGE_ROW)
-    # a code listed twice under two names would double every joined row
-    return df.groupBy("iso6393").agg(F.min("language").alias("language"), F.min("iso15924").alias("iso15924"))
+    # a pair listed twice under two names would double every joined row
+    return df.groupBy("iso6393", "iso15924").agg(F.min("language").alias("language")).select(
+        "iso6393", "language", "iso15924"
+    )
 
 
 def coverage_counts(spark: SparkSession, path: str) -> DataFrame:
     """CSV of page counts per domain; nameless index columns are left out."""
     df = spark.read.option("header", True).csv(path)
-    return coverage_scan(df.select([c for c in df.columns if not c.startswith(("Unnamed", "_c"))]))
+    return coverage_scan(df.select([c for c in df.columns if not c.startswith("Unnamed")]))
 
 
 def coverage_scan(df: DataFrame) -> DataFrame:

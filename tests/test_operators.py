@@ -3,7 +3,6 @@
 import random
 from collections import Counter, defaultdict
 from datetime import datetime
-from urllib.parse import urlparse
 from urllib.robotparser import RobotFileParser
 
 import pytest
@@ -20,31 +19,32 @@ def frontier_of(spark, urls):
     return spark.createDataFrame(list(enumerate(urls)), schemas.FRONTIER)
 
 
-def pick_in_python(urls, n, lookahead=10):
-    hosts = defaultdict(list)
-    for url in urls[: n * lookahead]:
-        hosts[urlparse(url).netloc].append(url)
-    order = sorted(hosts, key=lambda h: -len(hosts[h]))
-    turns = max(map(len, hosts.values()), default=0)
-    return [hosts[h][i] for i in range(turns) for h in order if i < len(hosts[h])][:n]
-
-
-SMALL = ["https://one.org/1", "https://one.org/2", "https://one.org/3", "https://two.org/1", "https://two.org/2",
-         "https://three.org/1", "https://four.org/1", "https://five.org/1", "https://one.org/4"]
-
-
-@pytest.mark.parametrize("n", [1, 3, 7, 20])
-def test_frontier_batch(spark, n):
-    rows = fr.frontier_batch(frontier_of(spark, SMALL), n).orderBy("batch_pos").collect()
-    assert [r.url for r in rows] == pick_in_python(SMALL, n)
+@pytest.mark.parametrize(
+    "urls, n, picked",
+    [
+        # the host with most URLs comes first, then turns are taken
+        ("b/1 c/1 c/2 d/1 c/3 b/2", 1, "c/1"),
+        ("b/1 c/1 c/2 d/1 c/3 b/2", 4, "c/1 b/1 d/1 c/2"),
+        ("b/1 c/1 c/2 d/1 c/3 b/2", 50, "c/1 b/1 d/1 c/2 b/2 c/3"),
+        # equal hosts: the one seen first
+        ("z/1 y/1 x/1", 2, "z/1 y/1"),
+        # one hot host, fewer hosts than places
+        ("h/1 h/2 h/3 h/4", 3, "h/1 h/2 h/3"),
+    ],
+)
+def test_frontier_batch(spark, urls, n, picked):
+    frontier = frontier_of(spark, [f"http://{u}" for u in urls.split()])
+    rows = fr.frontier_batch(frontier, n).orderBy("batch_pos").collect()
+    assert [r.url.removeprefix("http://") for r in rows] == picked.split()
     assert [r.batch_pos for r in rows] == list(range(1, len(rows) + 1))
 
 
-def test_frontier_batch_lookahead(spark):
-    rng = random.Random(3)
-    urls = [f"http://{'www.' * rng.randint(0, 1)}h{int(rng.paretovariate(1)) % 9}.org/{i}" for i in range(200)]
-    rows = fr.frontier_batch(frontier_of(spark, urls), 30, lookahead=3).orderBy("batch_pos").collect()
-    assert [r.url for r in rows] == pick_in_python(urls, 30, 3)
+def test_frontier_batch_looks_ahead_so_far_and_no_further(spark):
+    urls = [f"http://hot/{i}" for i in range(6)] + ["http://far/1"]
+    near = fr.frontier_batch(frontier_of(spark, urls), 2, lookahead=3).orderBy("batch_pos").collect()
+    far = fr.frontier_batch(frontier_of(spark, urls), 2, lookahead=4).orderBy("batch_pos").collect()
+    assert [r.url for r in near] == ["http://hot/0", "http://hot/1"]
+    assert [r.url for r in far] == ["http://hot/0", "http://far/1"]
 
 
 def test_empty_frontier(spark):
@@ -53,15 +53,16 @@ def test_empty_frontier(spark):
     assert fr.polite_batches(empty).count() == 0
 
 
-def batches_in_python(urls, size):
-    domains = defaultdict(list)
-    for url in urls:
-        domains[urlparse(url).netloc.removeprefix("www.")].append(url)
-    out = []
-    for i in range(max(map(len, domains.values()))):
-        turn = [us[i] for us in domains.values() if i < len(us)]
-        out += [turn[k : k + size] for k in range(0, len(turn), size)]
-    return out
+def test_polite_batches_by_hand(spark):
+    urls = ["http://a/1", "http://www.a/2", "http://b/1", "http://c/1", "http://a/3", "http://c/2"]
+    rows = fr.polite_batches(frontier_of(spark, urls), 2).collect()
+    got = defaultdict(set)
+    for r in rows:
+        got[r.batch].add(r.url)
+    # first turn a b c, second turn a c, third turn a; no more than two to a batch
+    assert [got[k] for k in sorted(got)] == [
+        {"http://a/1", "http://b/1"}, {"http://c/1"}, {"http://www.a/2", "http://c/2"}, {"http://a/3"}
+    ]
 
 
 @pytest.mark.parametrize("size, width", [(1, 7), (5, 7), (3, 1 << 20), (250, 16)])
@@ -72,12 +73,17 @@ def test_polite_batches(spark, size, width):
     for i in range(120):
         host = "hot.org" if rng.random() < 0.34 else f"{rng.choice(['', 'www.'])}h{rng.randint(0, 12)}.org"
         urls.append(f"https://{host}/{i}")
-    rows = fr.polite_batches(frontier_of(spark, urls), size, chunk_width=width).orderBy("batch", "pos").collect()
-    got = defaultdict(set)
+    rows = fr.polite_batches(frontier_of(spark, urls), size, chunk_width=width).collect()
+    assert sorted(r.url for r in rows) == sorted(urls)
+    assert {r.batch for r in rows} == set(range(max(r.batch for r in rows) + 1))
+    got = defaultdict(list)
     for r in rows:
-        got[r.batch].add(r.url)
-    assert [got[k] for k in sorted(got)] == [set(b) for b in batches_in_python(urls, size)]
-    assert sorted(got) == list(range(len(got)))
+        got[r.batch].append(r.domain)
+    assert all(len(d) <= size and len(set(d)) == len(d) for d in got.values())
+    # a domain's URLs keep their order
+    for domain in {r.domain for r in rows}:
+        own = sorted((r for r in rows if r.domain == domain), key=lambda r: r.pos)
+        assert [r.batch for r in own] == sorted(r.batch for r in own)
 
 
 def test_row_rank_chunks(spark):
@@ -91,17 +97,16 @@ def test_row_rank_chunks(spark):
         seen[k] += 1
 
 
-def test_frontier_update_with_and_without_bound(spark):
+def test_frontier_update(spark):
     frontier = frontier_of(spark, ["http://a/1", "http://a/2", "http://b/1"])
     seen = spark.createDataFrame([("http://a/0",), ("http://a/2",)], schemas.SEEN)
     done = spark.createDataFrame([("http://a/1",), ("http://a/2",)], schemas.SEEN)
     links = spark.createDataFrame([(u,) for u in ["http://a/1", "http://b/1", "http://c/1", "http://c/1", "http://a/0"]], schemas.SEEN)
-    for bound in (None, 2):
-        after, seen_after = fr.frontier_update(frontier, seen, done, links, 1, processed_rows=bound)
-        rows = after.orderBy("pos").collect()
-        assert [r.url for r in rows] == ["http://b/1", "http://c/1"]
-        assert rows[1].pos >= 1 << fr.POS_BITS
-        assert sorted(r.url for r in seen_after.collect()) == ["http://a/0", "http://a/1", "http://a/2"]
+    after, seen_after = fr.frontier_update(frontier, seen, done, links, 1)
+    rows = after.orderBy("pos").collect()
+    assert [r.url for r in rows] == ["http://b/1", "http://c/1"]
+    assert rows[1].pos >= 1 << fr.POS_BITS
+    assert sorted(r.url for r in seen_after.collect()) == ["http://a/0", "http://a/1", "http://a/2"]
 
 
 def random_robots(rng):
