@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import line_quality, mixing, pieces, pii, queries, simhash
+from lingmill.llm import line_quality, mixing, near_texts, pieces, pii, queries
 from lingmill.llm.common import table
 from lingmill.sources.shared import run_folder
 
@@ -25,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    return simhash.one_of_each(docs)
+    """One document of each group of near copies, five words and a similarity of 0.8: the one with the smallest id."""
+    return near_texts.one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,195 @@
+"""Near copies of whole texts: SimHash fingerprints of passages, met in covering tables, confirmed by Jaccard.
+
+The fingerprint of a whole text tells near copies apart only within a few bits: at a Jaccard similarity of 0.8 the
+64-bit fingerprints of two texts differ in about 10 bits. So a text also gives the fingerprints of some passages, which
+most near copies share unchanged. Passages end where the hash of a shingle is a multiple of `cut`, so an edit moves no
+other passage; of a longer text those count whose last shingles have the smallest hashes, which near copies agree on.
+
+Every two fingerprints within 2 bits meet in one of the 7 covering tables at least (see `simhash`). In each bucket
+that holds different texts one of them leads, the one with most company in all of its buckets, and the others are
+compared with it: first by their passages, then by all their shingles. Leaders step back, buckets of one component
+close, and this goes on until a round joins nothing. The work of a round is linear in the entries of the
+buckets, so a passage that a third of all texts share costs one comparison of short arrays per text.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from lingmill.llm.common import text_key
+from lingmill.llm.components import components
+from lingmill.llm.simhash import BITS, RADIUS, covering_masks
+from lingmill.sources.shared import materialize
+
+_SEED = 42
+#: Shingles at a time, so that a very long text needs little memory.
+_CHUNK = 1 << 16
+
+
+@dataclass(frozen=True)
+class NearOptions:
+    """Words of a shingle, the similarity from which texts link, fingerprinted passages of a text, shingles of a
+    passage on average, and passages that two texts must share before all their shingles are compared (all of
+    them, if one has fewer)."""
+
+    shingle: int = 5
+    similarity: float = 0.8
+    passages: int = 8
+    cut: int = 8
+    shared: int = 2
+
+
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of the shingles in the order of the text. Fewer words than a shingle make one, no word makes none."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, dtype="<u8")
+    parts = [words[k:] for k in range(shingle)] if len(words) > shingle else [[b" ".join(words)]]
+    return np.fromiter((xxhash.xxh64_intdigest(s, _SEED) for s in map(b" ".join, zip(*parts))), dtype="<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Signed 64-bit number whose bit is 1 where it is in over half of the hashes."""
+    ones = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(hashes), _CHUNK):
+        part = hashes[at : at + _CHUNK]
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def passage_prints(hashes: np.ndarray, options: NearOptions) -> list[int]:
+    """Fingerprints of the chosen passages, smallest last shingle first; the rest behind the last cut counts
+    if there are too few."""
+    ends = np.flatnonzero(hashes % np.uint64(options.cut) == 0)
+    starts = np.concatenate([[0], ends + 1])
+    _, first = np.unique(hashes[ends], return_index=True)
+    chosen = [hashes[starts[i] : ends[i] + 1] for i in first[: options.passages]]
+    if len(first) < options.passages and starts[-1] < len(hashes):
+        chosen.append(hashes[starts[-1] :])
+    return list(dict.fromkeys(majority(passage) for passage in chosen))
+
+
+def jaccard(a: str | None, b: str | None, shingle: int) -> float:
+    """Similarity of the sets of shingles; two texts without a word are equal."""
+    x, y = np.unique(shingle_hashes(a, shingle)), np.unique(shingle_hashes(b, shingle))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
+
+
+def _sketch(text: Column, options: NearOptions) -> Column:
+    @F.pandas_udf("struct<n: long, whole: long, passages: array<long>>")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for value in batch:
+                hashes = shingle_hashes(value, options.shingle)
+                rows.append((len(np.unique(hashes)), majority(hashes), passage_prints(hashes, options)))
+            yield pd.DataFrame(rows, columns=["n", "whole", "passages"])
+
+    return of(text)
+
+
+def _alike(a: Column, b: Column, options: NearOptions) -> Column:
+    @F.pandas_udf("boolean")
+    def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in batches:
+            yield pd.Series([jaccard(x, y, options.shingle) >= options.similarity for x, y in zip(left, right)], dtype=bool)
+
+    return of(a, b)
+
+
+def _plausible(x: Column, y: Column, options: NearOptions) -> Column:
+    """Sizes that allow the similarity, and passages in common or whole fingerprints within the radius."""
+    sizes = F.least(x["n"], y["n"]) >= F.lit(options.similarity) * F.greatest(x["n"], y["n"])
+    wanted = F.least(F.lit(options.shared), F.size(x["passages"]), F.size(y["passages"]))
+    common = F.size(F.array_intersect(x["passages"], y["passages"])) >= wanted
+    return sizes & (common | (F.bit_count(x["whole"].bitwiseXOR(y["whole"])) <= RADIUS))
+
+
+def _buckets(sketches: DataFrame) -> DataFrame:
+    """(t, v, kept): the entries of the covering tables whose buckets hold more than one text."""
+    masks = F.array(*(F.struct(F.lit(m if m < 1 << 63 else m - (1 << 64)).alias("mask"), F.lit(v).alias("v")) for v, m in enumerate(covering_masks())))
+    prints = F.array_distinct(F.concat(F.array("s.whole"), "s.passages"))
+    entries = sketches.select("t", F.explode(prints).alias("fp")).select("t", "fp", F.explode(masks).alias("m"))
+    entries = entries.select("t", "m.v", F.col("fp").bitwiseAND(F.col("m.mask")).alias("kept"))
+    crowded = entries.groupBy("v", "kept").agg(F.min("t").alias("low"), F.max("t").alias("high"), F.count("*").alias("n"))
+    crowded = crowded.filter("low < high").select("v", "kept", "n")
+    return materialize(entries.join(crowded, ["v", "kept"]))
+
+
+def near_components(texts: DataFrame, options: NearOptions = NearOptions()) -> DataFrame:
+    """(t, component) of every text that met another one; `texts` holds (t BIGINT, text), t standing for the text.
+
+    Texts link if their sets of shingles have the similarity or more; words part at ASCII white space, A-Z count as
+    a-z. NULL and blank texts have no shingle and link to each other. What the passages do not bring together, or
+    only in buckets led by unrelated texts, is not found: the README says how much that is.
+    """
+    sketches = materialize(texts.select("t", _sketch(F.col("text"), options).alias("s")).dropDuplicates(["t"]))
+    open_ = _buckets(sketches)
+    company = open_.groupBy("t").agg(F.sum(F.log2("n")).alias("company"))
+    standing = materialize(company.join(sketches, "t"))
+    links: DataFrame | None = None
+    joined = standing.select("t", F.col("t").alias("c"))
+    while True:
+        placed = materialize(open_.select("v", "kept", "t").join(standing, "t").join(joined, "t"))
+        leaders = placed.groupBy("v", "kept").agg(
+            F.max(F.struct("company", "t", "c", "s")).alias("lead"), F.min("c").alias("low"), F.max("c").alias("high")
+        )
+        leaders = materialize(leaders.filter("low < high").select("v", "kept", "lead"))
+        pairs = placed.join(leaders, ["v", "kept"]).filter("c != lead.c").filter(_plausible(F.col("s"), F.col("lead.s"), options))
+        pairs = materialize(pairs.select("t", F.col("lead.t").alias("lead")).distinct())
+        wanted = pairs.select("t").unionByName(pairs.select(F.col("lead").alias("t"))).distinct()
+        read = materialize(texts.join(wanted, "t", "left_semi").dropDuplicates(["t"]))
+        both = pairs.join(read, "t").join(read.select(F.col("t").alias("lead"), F.col("text").alias("other")), "lead")
+        alike = both.withColumn("alike", _alike(F.col("text"), F.col("other"), options)).filter("alike")
+        found = materialize(alike.select(F.col("t").alias("a"), F.col("lead").alias("b")))
+        if found.isEmpty():
+            break
+        links = found if links is None else links.unionByName(found)
+        linked = components(links)
+        joined = materialize(
+            standing.select("t").join(linked.withColumnRenamed("node", "t"), "t", "left").select("t", F.coalesce("component", "t").alias("c"))
+        )
+        still = placed.join(leaders.select("v", "kept", "lead.t"), ["v", "kept", "t"], "left_anti")
+        open_ = still.join(leaders.select("v", "kept"), ["v", "kept"], "left_semi")
+    return joined.select("t", F.col("c").alias("component"))
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", options: NearOptions = NearOptions()
+) -> DataFrame:
+    """One row of `docs`, with all its columns, for each group of near copies.
+
+    It is the row with the smallest id, NULL ids last, then by a hash of the text; of repeated rows any one. NULL,
+    empty and blank texts are one group. Equal texts, however many, are compared as one. An empty table gives an
+    empty result; only the id and the text are read, whatever else the columns are called.
+    """
+    h1, h2 = text_key(F.col(text))
+    linked = near_components(docs.select(h1.alias("t"), F.col(text).alias("text")), options)
+    keys = docs.select(F.col(id_col).alias("id"), h1.alias("h1"), h2.alias("h2"))
+    found = materialize(
+        keys.join(linked.withColumnRenamed("t", "h1"), "h1", "left").withColumn("component", F.coalesce("component", "h1"))
+    )
+    by_key = F.struct(F.col("id").isNull(), "id", "h1", "h2")
+    chosen = found.groupBy("component").agg(F.min(by_key).alias("key")).select("key.id", "key.h1", "key.h2")
+    counted = found.groupBy("id", "h1", "h2").agg(F.count("*").alias("rows"))
+    same = counted["id"].eqNullSafe(chosen["id"]) & (counted["h1"] == chosen["h1"]) & (counted["h2"] == chosen["h2"])
+    kept = materialize(counted.join(chosen, same, "left_semi"))
+
+    def rows_of(keys: DataFrame) -> DataFrame:
+        h1, h2 = text_key(F.col("row")[text])
+        rows = docs.select(F.struct("*").alias("row")).select("row", F.col("row")[id_col].alias("id"), h1.alias("h1"), h2.alias("h2"))
+        here = rows["id"].eqNullSafe(keys["id"]) & (rows["h1"] == keys["h1"]) & (rows["h2"] == keys["h2"])
+        return rows.join(keys, here, "left_semi")
+
+    # only rows that are there several times have to be brought together
+    once, several = rows_of(kept.filter("rows = 1")), rows_of(kept.filter("rows > 1"))
+    both = once.unionByName(several.dropDuplicates(["id", "h1", "h2"]))
+    return both.select(*(F.col("row")[c].alias(c) for c in docs.columns))

@@ -120,27 +120,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """
     found = _labelled(docs, id_col, text, shingle)
     return found.select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """One row of `docs`, with all its columns, for each group of near-duplicates.
-
-    It is the row with the smallest id, NULL ids last, then by a hash of the text; of repeated rows any one.
-    """
-    found = materialize(_labelled(docs, id_col, text, shingle))
-    by_key = F.struct(F.col("id").isNull(), "id", "h1", "h2")
-    chosen = found.groupBy("component").agg(F.min(by_key).alias("key")).select("key.id", "key.h1", "key.h2")
-    counted = found.groupBy("id", "h1", "h2").agg(F.count("*").alias("rows"))
-    same = counted["id"].eqNullSafe(chosen["id"]) & (counted["h1"] == chosen["h1"]) & (counted["h2"] == chosen["h2"])
-    kept = materialize(counted.join(chosen, same, "left_semi"))
-
-    def rows_of(keys: DataFrame) -> DataFrame:
-        h1, h2 = text_key(F.col("row")[text])
-        rows = docs.select(F.struct("*").alias("row")).select("row", F.col("row")[id_col].alias("id"), h1.alias("h1"), h2.alias("h2"))
-        here = rows["id"].eqNullSafe(keys["id"]) & (rows["h1"] == keys["h1"]) & (rows["h2"] == keys["h2"])
-        return rows.join(keys, here, "left_semi")
-
-    # only rows that are there several times have to be brought together
-    once, several = rows_of(kept.filter("rows = 1")), rows_of(kept.filter("rows > 1"))
-    both = once.unionByName(several.dropDuplicates(["id", "h1", "h2"]))
-    return both.select(*(F.col("row")[c].alias(c) for c in docs.columns))

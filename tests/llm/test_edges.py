@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lingmill.llm import lid, licenses, line_quality, mixing, pieces, pii, queries, ring, secrets, simhash, topk
+from lingmill.llm import lid, licenses, line_quality, mixing, near_texts, pieces, pii, queries, ring, secrets, simhash, topk
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
@@ -36,7 +36,7 @@ OPERATORS = {
     "clean_lines": line_quality.clean_lines_and_keep,
     "ring": lambda d: ring.ring_shards(d, options=ring.RingOptions(shards=3, virtual_nodes=4)),
     "simhash": simhash.near_duplicates,
-    "one_of_each": simhash.one_of_each,
+    "one_of_each": near_texts.one_of_each,
     "licenses": licenses.scan_licenses,
     "pii": pii.detect,
     "masked": pii.masked,
@@ -78,7 +78,7 @@ def test_defined_values(spark):
     assert tongue[2]["best"] == "fr" and tongue[5]["best"] == "de"
     near = {(r["doc_id"], r["fingerprint"]): r["component_id"] for r in simhash.near_duplicates(docs).collect()}
     assert near[(3, 0)] == 3 and near[(4, 0)] == 3 and near[(None, 0)] == 3
-    one = [r["doc_id"] for r in simhash.one_of_each(docs).collect()]
+    one = [r["doc_id"] for r in near_texts.one_of_each(docs).collect()]
     assert one.count(1) == 1 and 4 not in one and 3 in one
     ids = {r["doc_id"]: r for r in OPERATORS["pieces"](docs).collect()}
     assert ids[3]["ids"] is None and ids[3]["n_tokens"] == 0 and ids[5]["round_trip"]

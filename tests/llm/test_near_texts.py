@@ -1,0 +1,91 @@
+"""Near copies of whole texts against all pairs."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lingmill.llm import near_texts
+from lingmill.llm.common import text_key
+from lingmill.llm.near_texts import NearOptions
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def similarity(a, b):
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y)
+
+
+def groups_of(texts):
+    """Smallest place of each text's group, links being all pairs at 0.8 or more."""
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if group[i] != group[j] and similarity(texts[i], texts[j]) >= 0.8:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    return group
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+    return words
+
+
+def corpus():
+    """Unlike texts that share a passage of 60 words, families of edited copies, exact copies."""
+    rng = random.Random(11)
+    fresh = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    common = fresh(60)
+    texts = [common + fresh(rng.randrange(80, 300)) for _ in range(60)]
+    for _ in range(25):
+        base = fresh(rng.randrange(60, 400))
+        texts += [base] + [edited(rng, base, max(1, len(base) // 60)) for _ in range(rng.randrange(1, 5))]
+    # one family of many, edited once or twice, within texts that hold the common passage
+    base = common + fresh(200)
+    texts += [base] + [edited(rng, base, 2) for _ in range(60)]
+    texts += texts[:5]
+    return [" ".join(t) for t in texts]
+
+
+def test_near_components_against_all_pairs(spark):
+    texts = corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    h1, _ = text_key(F.col("text"))
+    linked = near_texts.near_components(docs.select(h1.alias("t"), "text"))
+    keys = docs.select("doc_id", h1.alias("t")).join(linked, "t", "left")
+    got = {r["doc_id"]: r["c"] for r in keys.select("doc_id", F.coalesce("component", "t").alias("c")).collect()}
+    want = groups_of(texts)
+    for i in range(len(texts)):
+        for j in range(i):
+            assert want[i] == want[j] or got[i] != got[j]
+    together = [(i, j) for i in range(len(texts)) for j in range(i) if want[i] == want[j]]
+    assert sum(got[i] == got[j] for i, j in together) >= 0.98 * len(together)
+    kept = sorted(r["doc_id"] for r in near_texts.one_of_each(docs).collect())
+    assert set(want) <= set(kept) and len(kept) <= 1.1 * len(set(want))
+
+
+def test_one_edit_changes_few_passages():
+    rng = random.Random(2)
+    words = [f"w{rng.randrange(500)}" for _ in range(300)]
+    options = NearOptions()
+    prints = [near_texts.passage_prints(near_texts.shingle_hashes(" ".join(w), 5), options) for w in (words, words[:150] + ["x"] + words[150:])]
+    assert all(0 < len(p) <= options.passages for p in prints)
+    assert len(set(prints[0]) & set(prints[1])) >= options.passages - 3
+
+
+@pytest.mark.parametrize("text", [None, "", " \n\t"])
+def test_no_words(text):
+    hashes = near_texts.shingle_hashes(text, 5)
+    assert len(hashes) == 0 and near_texts.passage_prints(hashes, NearOptions()) == [] and near_texts.majority(hashes) == 0
+    assert near_texts.jaccard(text, "", 5) == 1.0 and near_texts.jaccard(text, "a", 5) == 0.0
+
+
+def test_few_words_are_one_shingle():
+    assert near_texts.jaccard("a B", "A b", 5) == 1.0 and near_texts.jaccard("a b", "a c", 5) == 0.0
