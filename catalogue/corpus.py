@@ -113,7 +113,26 @@ def language_samples(spark, sf):
     return sm.language_samples(_sample_lines(spark, sf))
 
 
-@query()
+# Draw j (1 to 100) gives line k + 1 of the hash order, or one of the k lines drawn so far.
+part(
+    "x_sample_sizes",
+    "SELECT lang AS language, count(*) AS size FROM x_lines JOIN x_sample_files USING (lang, source) GROUP BY lang",
+)
+
+
+@query(
+    """
+SELECT d.language, j AS slot, sample FROM (
+  WITH RECURSIVE draws AS (
+    SELECT language, size, 0::BIGINT AS j, 0::BIGINT AS k, 0::BIGINT AS pick FROM x_sample_sizes
+    UNION ALL
+    SELECT language, size, j + 1, CASE WHEN d < k THEN k ELSE k + 1 END, CASE WHEN d < k THEN d + 1 ELSE k + 1 END
+    FROM (SELECT *, ('0x' || substr(md5('0/' || language || '/' || (j + 1)), 1, 15))::BIGINT % size AS d FROM draws)
+    WHERE j < 100
+  ) SELECT * FROM draws WHERE j > 0
+) d JOIN x_samples s ON d.language = s.language AND d.pick = s.slot
+"""
+)
 def language_samples_with_replacement(spark, sf):
     return sm.language_samples(_sample_lines(spark, sf), replace=True)
 

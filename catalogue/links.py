@@ -84,7 +84,7 @@ def robots_url(spark, sf):
 @query(
     """
 SELECT url, contains(m, 'noindex') = false AS can_index, contains(m, 'nofollow') = false AS can_follow,
-  CASE WHEN m = '' THEN 'No meta tag found' END AS meta_error
+  CASE WHEN m = '' THEN 'no robots tag' END AS meta_error
 FROM (SELECT url, lower(CASE WHEN url LIKE '%.html' THEN 'NOINDEX' WHEN url LIKE '%/' THEN 'noindex, NoFollow'
         WHEN url LIKE '%?%' THEN 'nofollow' WHEN url LIKE '%#top' THEN 'NOARCHIVE,NOCACHE' ELSE '' END) AS m FROM pages)
 """

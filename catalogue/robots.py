@@ -60,7 +60,7 @@ part(
     "x_decide",
     r"""
 SELECT url, coalesce(hit.allow, true) AS can_fetch,
-  CASE WHEN content IS NULL THEN 'No valid robots.txt found at ' || o || '/robots.txt. Assuming allowed.'
+  CASE WHEN content IS NULL THEN 'no usable robots document for ' || o
        WHEN hit IS NULL THEN 'no rule applies'
        WHEN hit.allow THEN 'Allow: ' || hit.path ELSE 'Disallow: ' || hit.path END AS reason
 FROM (

@@ -147,6 +147,6 @@ def robots_directives(html: Column) -> Column:
         lambda content: F.struct(
             (known & ~F.contains(content, F.lit("noindex"))).alias("can_index"),
             (known & ~F.contains(content, F.lit("nofollow"))).alias("can_follow"),
-            F.when(~known, "html is missing").when(content == "", "No meta tag found").alias("error"),
+            F.when(~known, "html is missing").when(content == "", "no robots tag").alias("error"),
         ),
     )

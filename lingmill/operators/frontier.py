@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lingmill.functions import urls
-from lingmill.operators.ranking import CHUNK_WIDTH, row_rank, running_total
+from lingmill.operators.ranking import row_rank, running_total
 from lingmill.sources.shared import materialize
 
 # Frontier positions of one round differ in this many bits; the round number stands above.
@@ -63,7 +63,7 @@ def frontier_batch(frontier: DataFrame, n: int, lookahead: int = 10) -> DataFram
 
 
 def polite_batches(
-    urls_df: DataFrame, batch_size: int = 250, order: str = "pos", chunk_width: int = CHUNK_WIDTH
+    urls_df: DataFrame, batch_size: int = 250, order: str = "pos", ranges: int | None = None
 ) -> DataFrame:
     """Add `domain` and `batch`: no batch has two URLs of a domain or more than `batch_size` URLs.
 
@@ -73,14 +73,14 @@ def polite_batches(
     """
     named = urls_df.withColumn("domain", urls.domain(F.col("url")))
     # read four times below, so it is written once
-    passes = materialize(row_rank(named, ["domain"], order, "_pass", chunk_width))
+    passes = materialize(row_rank(named, ["domain"], order, "_pass", ranges))
     firsts = passes.filter("_pass = 0").select("domain", F.col(order).alias("_first"))
     placed = passes.join(firsts, "domain")
-    placed = row_rank(placed, ["_pass"], "_first", "_place", chunk_width)
+    placed = row_rank(placed, ["_pass"], "_first", "_place", ranges)
     sub = F.expr(f"_place div {int(batch_size)}L")
     per_pass = passes.groupBy("_pass").agg(F.count(F.lit(1)).alias("_size"))
     n_batches = F.expr(f"(_size + {int(batch_size) - 1}L) div {int(batch_size)}L")
-    starts = running_total(per_pass, [], "_pass", n_batches, "_start", chunk_width)
+    starts = running_total(per_pass, [], "_pass", n_batches, "_start", ranges)
     return placed.join(starts.select("_pass", "_start"), "_pass").select(
         *urls_df.columns, "domain", (F.col("_start") + sub).cast("bigint").alias("batch")
     )

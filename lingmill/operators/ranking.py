@@ -1,8 +1,9 @@
 """Exact ranks and running totals without ever putting a whole group into one task.
 
 A plain window sorts each group in one task; a host with a third of all URLs would make that
-task the job. Here a group is cut along its order column into chunks. Chunk totals are added
-up first (few rows), and rows are ranked only within their chunk.
+task the job. Here the rows are cut into ranges of (keys, order) by their own distribution, so a
+big group lies in several ranges and each range has about as many rows as any other. Totals per
+group and range are added up first (few rows), and rows are ranked only within their range.
 """
 
 from __future__ import annotations
@@ -12,7 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_WIDTH = 1 << 20
+from lingmill.sources.shared import materialize
+
+
+def in_ranges(df: DataFrame, keys: Sequence[str], order: str, ranges: int | None = None) -> DataFrame:
+    """`df` with `_chunk`, the number of the range of (keys, order) that a row lies in; stored, so that it stays.
+
+    `ranges` is their number; by default that of the shuffle partitions, which adaptive execution lowers for small inputs.
+    """
+    by = [*keys, order]
+    dealt = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    return materialize(dealt.withColumn("_chunk", F.spark_partition_id()))
 
 
 def running_total(
@@ -21,19 +32,18 @@ def running_total(
     order: str,
     value: Column,
     name: str,
-    chunk_width: int = CHUNK_WIDTH,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add `name`: the sum of `value` over the rows of the group that come before this one.
 
-    `keys` must not be NULL; `order` is a BIGINT column, unique within a group. A chunk spans `chunk_width` values of
-    it, so a task holds at most that many rows of a group; choose it wide where the values
-    of `order` are far apart.
+    `keys` must not be NULL; `order` is a column that can be sorted, unique within a group. A task holds one range
+    of a group, never more, however the values of `order` are spread.
     """
     keys = list(keys)
     chunk = "_chunk"
-    chunked = df.withColumn(chunk, F.expr(f"`{order}` div {int(chunk_width)}L"))
-    chunked = chunked.withColumn("_value", value.cast("bigint"))
+    chunked = in_ranges(df.withColumn("_value", value.cast("bigint")), keys, order, ranges)
     totals = chunked.groupBy(*keys, chunk).agg(F.sum("_value").alias("_total"))
+    # a group has at most one total per range
     before = (
         Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -55,10 +65,10 @@ def running_total(
 
 
 def row_rank(
-    df: DataFrame, keys: Sequence[str], order: str, name: str, chunk_width: int = CHUNK_WIDTH
+    df: DataFrame, keys: Sequence[str], order: str, name: str, ranges: int | None = None
 ) -> DataFrame:
     """Add `name`: 0 for the first row of each group by `order`, 1 for the second and so on."""
-    return running_total(df, keys, order, F.lit(1), name, chunk_width)
+    return running_total(df, keys, order, F.lit(1), name, ranges)
 
 
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:

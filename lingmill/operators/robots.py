@@ -153,7 +153,7 @@ def robots_decide(urls_df: DataFrame, docs: DataFrame, user_agent: str, enabled:
     return joined.withColumn("_hit", hit).select(
         *urls_df.columns,
         F.coalesce(F.col("_hit.allow"), F.lit(True)).alias("can_fetch"),
-        F.when(~F.coalesce("has_doc", F.lit(False)), F.concat(F.lit("No valid robots.txt found at "), F.col("origin"), F.lit("/robots.txt. Assuming allowed.")))
+        F.when(~F.coalesce("has_doc", F.lit(False)), F.concat(F.lit("no usable robots document for "), F.col("origin")))
         .when(F.col("_hit").isNull(), "no rule applies")
         .when(F.col("_hit.allow"), F.concat(F.lit("Allow: "), F.col("_hit.path")))
         .otherwise(F.concat(F.lit("Disallow: "), F.col("_hit.path")))

@@ -24,6 +24,10 @@ def sampled_files(lines: DataFrame, max_files: int = 3, min_files: int = 5) -> D
     )
 
 
+#: Parts that a language is cut into before its lines are ranked.
+PARTS = 64
+
+
 def _draw_key(seed: int) -> Column:
     return F.md5(F.concat_ws("/", F.lit(str(seed)), F.col("language"), F.col("line_id").cast("string")))
 
@@ -39,8 +43,8 @@ def language_samples(
     """(language, slot, sample): `n` random lines per language, the same ones on every run.
 
     `line_id` is unique per language. Without `replace` slots are 1..n in hash order, fewer if
-    the language has fewer lines. A rank limit is pushed below the shuffle by the planner:
-    each map task sends its best `n` lines per language, however big the language is.
+    the language has fewer lines. Each language is cut into `PARTS` parts by a hash of the line; the best `n`
+    of each part are ranked again, so that no task sorts a whole language, however large `n` is.
 
     With `replace`, lines may repeat, as in n independent draws. The draws are made on the
     slot numbers: draw j gives a line not drawn before with probability (N - k) / N, where k
@@ -50,8 +54,12 @@ def language_samples(
     files = sampled_files(lines, max_files, min_files)
     chosen = lines.join(files, ["language", "file"], "left_semi")
     order = Window.partitionBy("language").orderBy("_key", "line_id")
+    within = Window.partitionBy("language", "_part").orderBy("_key", "line_id")
+    part = F.pmod(F.xxhash64("line_id"), F.lit(PARTS))
     top = (
-        chosen.select("language", "line_id", "line", _draw_key(seed).alias("_key"))
+        chosen.select("language", "line_id", "line", _draw_key(seed).alias("_key"), part.alias("_part"))
+        .withColumn("_rank", F.row_number().over(within))
+        .filter(F.col("_rank") <= n)
         .withColumn("slot", F.row_number().over(order))
         .filter(F.col("slot") <= n)
         .select("language", F.col("slot").cast("bigint"), F.col("line").alias("sample"))
@@ -59,9 +67,11 @@ def language_samples(
     if not replace:
         return top
     sizes = chosen.groupBy("language").agg(F.count(F.lit(1)).alias("_size"))
-    draw = lambda j: F.pmod(
-        F.xxhash64(F.lit(seed), F.col("language"), j), F.col("_size")
-    )
+
+    def draw(j: Column) -> Column:
+        hashed = F.md5(F.concat_ws("/", F.lit(str(seed)), F.col("language"), j.cast("string")))
+        return F.conv(F.substring(hashed, 1, 15), 16, 10).cast("bigint") % F.col("_size")
+
     start = F.struct(F.lit(0).cast("bigint").alias("k"), F.array().cast("array<bigint>").alias("picks"))
 
     def step(acc: Column, j: Column) -> Column:

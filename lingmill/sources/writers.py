@@ -19,11 +19,15 @@ def write_json_lines(df: DataFrame, path: str, compress: bool = True, mode: str
     df.write.mode(mode).option("compression", "gzip" if compress else "none").json(path)
 
 
-def write_segments(segments: DataFrame, path: str, mode: str = "append") -> None:
-    """Segment text as one folder per (round, language), one line per segment."""
+def write_segments(segments: DataFrame, path: str) -> None:
+    """Segment text as one folder per (round, language), one line per segment.
+
+    A (round, language) that is there is replaced, so a round written twice has its text once; others stay.
+    """
     (
         _by_label(segments.select("round", "language", "text"), "round", "language")
-        .write.mode(mode)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("round", "language")
         .text(path)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lingmill.operators.language import LanguageModel
+from lingmill.operators.ranking import first_per_key
 from lingmill.plans import parse
 from lingmill.sources import schemas
 
@@ -38,8 +39,9 @@ def stream_parse(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # a URL may come twice in one batch; parsing needs it once
-        once = batch.dropDuplicates(["url"])
+        # a URL may come several times in one batch; the copy with the least hash is parsed, on every run
+        hashed = batch.withColumn("_order", F.xxhash64("html"))
+        once = first_per_key(hashed, "url", "_order").drop("_order")
         parsed = parse.parsed_pages(once, model, targets, **options)
         parsed.write.mode("overwrite").parquet(f"{out_folder}/parsed/batch={batch_id}")
 

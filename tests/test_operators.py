@@ -65,15 +65,15 @@ def test_polite_batches_by_hand(spark):
     ]
 
 
-@pytest.mark.parametrize("size, width", [(1, 7), (5, 7), (3, 1 << 20), (250, 16)])
-def test_polite_batches(spark, size, width):
-    """A third of the URLs are of one domain; narrow chunks cut it into many pieces."""
+@pytest.mark.parametrize("size, ranges", [(1, 7), (5, 7), (3, None), (250, 16)])
+def test_polite_batches(spark, size, ranges):
+    """A third of the URLs are of one domain; many ranges cut it into pieces."""
     rng = random.Random(size)
     urls = []
     for i in range(120):
         host = "hot.org" if rng.random() < 0.34 else f"{rng.choice(['', 'www.'])}h{rng.randint(0, 12)}.org"
         urls.append(f"https://{host}/{i}")
-    rows = fr.polite_batches(frontier_of(spark, urls), size, chunk_width=width).collect()
+    rows = fr.polite_batches(frontier_of(spark, urls), size, ranges=ranges).collect()
     assert sorted(r.url for r in rows) == sorted(urls)
     assert {r.batch for r in rows} == set(range(max(r.batch for r in rows) + 1))
     got = defaultdict(list)
@@ -90,13 +90,38 @@ def test_row_rank_chunks(spark):
     rng = random.Random(1)
     rows = [(rng.choice("aaab"), i * 3) for i in range(100)]
     df = spark.createDataFrame(rows, "k string, o bigint")
-    got = {(r.k, r.o): r.r for r in ranking.row_rank(df, ["k"], "o", "r", chunk_width=10).collect()}
+    got = {(r.k, r.o): r.r for r in ranking.row_rank(df, ["k"], "o", "r", ranges=10).collect()}
     seen = Counter()
     for k, o in sorted(rows, key=lambda x: x[1]):
         assert got[k, o] == seen[k]
         seen[k] += 1
 
 
+def test_ranges_split_a_hot_host_of_a_shuffled_frontier(spark):
+    """Positions of a shuffled frontier lie far apart; the largest group of a window stays near its share."""
+    urls = spark.range(6000).select(
+        F.concat(F.lit("http://"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")), F.lit("/"), "id").alias("url")
+    )
+    frontier = fr.frontier_shuffle(urls).withColumn("host", F.split("url", "/")[2])
+    cut = ranking.in_ranges(frontier, ["host"], "pos", 20)
+    assert cut.groupBy("host", "_chunk").count().agg(F.max("count")).first()[0] < 1000
+    ranked = ranking.row_rank(frontier, ["host"], "pos", "r", 20).filter("host = 'hot'").orderBy("pos").collect()
+    assert [r.r for r in ranked] == list(range(2000))
+
+
+def test_samples_of_a_large_number(spark):
+    lines = spark.range(9000).select(
+        F.when(F.col("id") % 9 == 0, "small").otherwise("hot").alias("language"), F.concat(F.lit("f"), F.col("id") % 7).alias("file"),
+        F.col("id").alias("line_id"), F.concat(F.lit("line "), "id").alias("line"),
+    )
+    got = samples.language_samples(lines, n=5000, max_files=7, min_files=1).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.language].append(r.slot)
+    assert sorted(slots["hot"]) == list(range(1, 5001)) and sorted(slots["small"]) == list(range(1, 1001))
+    assert len({r["sample"] for r in got}) == 6000
+
+
 def test_frontier_update(spark):
     frontier = frontier_of(spark, ["http://a/1", "http://a/2", "http://b/1"])
     seen = spark.createDataFrame([("http://a/0",), ("http://a/2",)], schemas.SEEN)
@@ -155,7 +180,7 @@ def test_robots_missing_document_and_switch(spark):
         [("http://x.org", 200, "text/html", "User-agent: *\nDisallow: /")], "origin string, status int, content_type string, content string"
     )
     rows = robots.robots_decide(urls, robots.robots_validate(docs), "a").collect()
-    assert all(r.can_fetch and r.reason.startswith("No valid robots.txt") for r in rows)
+    assert all(r.can_fetch and r.reason.startswith("no usable robots document") for r in rows)
     raw = {r.url: r.can_fetch for r in robots.robots_decide(urls, docs, "a").collect()}
     assert raw == {"http://x.org/a": False, "http://y.org/a": True}
     assert all(r.can_fetch for r in robots.robots_decide(urls, docs, "a", enabled=False).collect())
