@@ -100,9 +100,9 @@ def base_href(spark, sf):
 
 @query("SELECT url, CAST(link_no AS BIGINT) AS link_no, href, target FROM x_links")
 def link_normalize(spark, sf):
-    found = lk.anchors(_tagged(spark, sf)).filter(lk.usable_href(F.col("href")))
-    bases = _tagged(spark, sf).select("url", lk.base_url(F.col("url"), F.col("html")).alias("base"))
-    return found.join(bases, "url").select(
+    based = _tagged(spark, sf).select("url", "html", lk.base_url(F.col("url"), F.col("html")).alias("base"))
+    found = lk.anchors(based, "base").filter(lk.usable_href(F.col("href")))
+    return found.select(
         "url",
         F.col("link_no").cast("bigint").alias("link_no"),
         "href",

@@ -49,11 +49,9 @@ def link_array(page_url: Column, html: Column, internal_only: bool = True) -> Co
     return F.array_distinct(bind(page, links))
 
 
-def anchors(pages: DataFrame) -> DataFrame:
-    """Every `<a href>` in document order: page url, link_no, href."""
-    return pages.select(F.col("url"), "html").select(
-        "url", F.posexplode(tags.hrefs(F.col("html"))).alias("link_no", "href")
-    )
+def anchors(pages: DataFrame, *others: str) -> DataFrame:
+    """Every `<a href>` in document order: page url, the `others` of the page's columns, link_no, href."""
+    return pages.select("url", *others, F.posexplode(tags.hrefs(F.col("html"))).alias("link_no", "href"))
 
 
 def page_links(pages: DataFrame, internal_only: bool = True) -> DataFrame:

@@ -200,9 +200,11 @@ def robots_meta(pages: DataFrame) -> DataFrame:
 def url_policy(pages: DataFrame, docs: DataFrame, user_agent: str, enabled: bool = True) -> DataFrame:
     """Everything that rules one URL: `can_fetch`, `can_index`, `can_follow`.
 
-    What may not be fetched has no meta tag to look at: the meta columns are NULL.
+    What may not be fetched has no meta tag to look at: the meta columns are NULL. The tag is read where
+    the page is, so html takes no part in the join with the rules.
     """
-    decided = robots_meta(robots_decide(pages, docs, user_agent, enabled))
+    read = robots_meta(pages.select("url", "html")).select("url", "can_index", "can_follow")
+    decided = robots_decide(read, docs, user_agent, enabled)
     ok = F.col("can_fetch")
     return decided.select(
         "url",

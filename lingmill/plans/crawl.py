@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from lingmill.functions import urls
 from lingmill.operators import frontier as fr
-from lingmill.operators import robots
+from lingmill.operators import language, robots
 from lingmill.operators.language import LanguageModel
 from lingmill.plans import parse
-from lingmill.sources import schemas
+from lingmill.sources import schemas, writers
 from lingmill.sources.shared import materialize, run_folder
 
 
@@ -47,6 +47,11 @@ class CrawlState:
         self.spark = spark
         self.folder = folder
 
+    @property
+    def segments(self) -> str:
+        """Folder of the segment text of all rounds, which the dataset job reads."""
+        return f"{self.folder}/segments"
+
     def path(self, table: str, round_no: int) -> str:
         return f"{self.folder}/{table}/round={round_no}"
 
@@ -146,6 +151,9 @@ def crawl_round(
     )
     state.write(out, "parsed", round_no)
     parsed = state.parsed(round_no)
+    segments = parse.segment_rows(parsed)
+    writers.write_segments(segments.withColumn("round", F.lit(round_no)), state.segments)
+    state.write(language.domain_language_counter(segments), "domain_languages", round_no)
 
     # everything picked leaves the frontier: done, forbidden, or seen before
     state.write(pages.select("url"), "seen", round_no)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lingmill.operators import dataset as ds
 from lingmill.sources import readers, writers
@@ -27,6 +28,20 @@ def build_dataset(
     return write_corpus(ds.dataset_dedup(segments), output_folder, max_rows)
 
 
+def build_from_rounds(
+    spark: SparkSession,
+    segments_folder: str,
+    output_folder: str,
+    languages: Iterable[str] | str | None = None,
+    max_rows: int = 500_000,
+) -> DataFrame:
+    """The same from the segment folder of crawl rounds; labels that are not listed are not read."""
+    segments = readers.round_segments(spark, segments_folder)
+    if languages is not None:
+        segments = segments.filter(F.col("label").isin(ds.clean_targets(languages)))
+    return write_corpus(ds.dataset_dedup(ds.with_label_parts(segments, "label")), output_folder, max_rows)
+
+
 def write_corpus(corpus: DataFrame, output_folder: str, max_rows: int = 500_000) -> DataFrame:
     spark = corpus.sparkSession
     writers.write_dataset(corpus, f"{output_folder}/dataset", max_rows)

@@ -67,6 +67,12 @@ def segment_files(spark: SparkSession, path: str, languages: Iterable[str] | Non
     )
 
 
+def round_segments(spark: SparkSession, path: str) -> DataFrame:
+    """Segment lines that crawl rounds wrote, one folder per (round, language): text, round, label."""
+    found = spark.read.schema("value STRING, round INT, language STRING").text(path)
+    return found.select(F.col("value").alias("text"), "round", F.col("language").alias("label"))
+
+
 def dataset(spark: SparkSession, path: str, languages: Iterable[str] | None = None) -> DataFrame:
     """The finished corpus; a language filter prunes whole folders."""
     df = spark.read.schema(schemas.DATASET_ROW).parquet(path)

@@ -71,7 +71,8 @@ def use_disk_state(spark: SparkSession) -> None:
 
 
 def stream_seen_urls(links: DataFrame, out_folder: str, checkpoint: str) -> StreamingQuery:
-    """Write the URLs that are new, in files that later batches only add to."""
+    """Write the URLs that are new, in files that later batches only add to. The state is kept on disk."""
+    use_disk_state(links.sparkSession)
     return (
         new_url_stream(links)
         .writeStream.format("parquet")

@@ -82,6 +82,15 @@ def test_resume_gives_the_same(spark, model):
     state.write(spark.createDataFrame([("http://s.org/1",)], schemas.SEEN), "seen", 2)
     assert state.last_round() == 1
     crawl.crawl_rounds(*args, crawl.CrawlOptions(num_rounds=2, **OPTIONS), folder)
+    lines = [r.text for k in (1, 2) for r in parse.segment_rows(state.parsed(k)).collect()]
+    # a round that runs again replaces its text
+    crawl.crawl_round(state, 2, *args[1:], crawl.CrawlOptions(num_rounds=2, **OPTIONS))
+    stored = readers.round_segments(spark, state.segments)
+    assert sorted(r.text for r in stored.collect()) == sorted(lines) != []
+    stats = dataset.build_from_rounds(spark, state.segments, f"{folder}/out", "eng_Latn").collect()
+    assert [(r.language, r.script) for r in stats] == [("eng", "Latn")]
+    texts = [r.text for r in readers.dataset(spark, f"{folder}/out/dataset").collect()]
+    assert sorted(texts) == sorted(set(lines))
     assert state.last_round() == 2
     assert {r.url for r in state.pages(2).collect()} == {"http://s.org/1", "http://s.org/2"}
 
