@@ -14,6 +14,10 @@ from lingmill.llm.common import table
 from lingmill.sources.shared import run_folder
 
 
+#: Lines that this many different texts of a host share are removed, however many texts the host has.
+LINES = line_quality.LineLimits(max_texts=100)
+
+
 def _with_length(docs: DataFrame) -> DataFrame:
     """`n_chars` follows a changed text."""
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
@@ -21,7 +25,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are not depleted, without their hosts' frequent lines."""
-    return _with_length(line_quality.clean_lines_and_keep(docs))
+    return _with_length(line_quality.clean_lines_and_keep(docs, limits=LINES))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

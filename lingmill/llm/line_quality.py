@@ -25,12 +25,14 @@ class LineLimits:
     """When a line is too frequent, and when a document is depleted.
 
     A line goes if at least `min_documents` different texts of its host have it and they are over
-    `max_share` of the host's different texts. A document is rejected by the method if over
-    `max_removed` of its words stand in such lines. `min_words` and `max_repeated` are the base rules.
+    `max_share` of the host's different texts, or if `max_texts` of them have it, however large the host is
+    (None: by share alone). A document is rejected by the method if over `max_removed` of its words stand in
+    such lines. `min_words` and `max_repeated` are the base rules.
     """
 
     min_documents: int = 10
     max_share: float = 0.1
+    max_texts: int | None = None
     max_removed: float = 0.5
     min_words: int = 50
     max_repeated: float = 0.5
@@ -132,7 +134,10 @@ def frequent_lines(docs: DataFrame, text: str, host: str, limits: LineLimits) ->
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") >= limits.min_documents)
     )
-    above = counts.join(totals, "host").filter(F.col("n") > limits.max_share * F.col("texts"))
+    frequent = F.col("n") > limits.max_share * F.col("texts")
+    if limits.max_texts is not None:
+        frequent = frequent | (F.col("n") >= limits.max_texts)
+    above = counts.join(totals, "host").filter(frequent)
     return texts, above.select("host", "line")
 
 
