@@ -10,10 +10,17 @@ that holds different texts one of them leads, the one with most company in all o
 compared with it: first by their passages, then by all their shingles. Leaders step back, buckets of one component
 close, and this goes on until a round joins nothing. The work of a round is linear in the entries of the
 buckets, so a passage that a third of all texts share costs one comparison of short arrays per text.
+
+The rounds join most copies cheaply, but not surely all. What they leave is found by a prefix filter, which misses
+nothing: of the n shingles of a text, in an order that all texts share (rare ones first), those of two texts at a
+similarity s have one in common among the first n - ceil(s n) + 1 of each. Shingles whose texts are one component
+by then are closed; texts of different components that share one are compared if sizes and places allow the
+similarity.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +38,10 @@ from lingmill.sources.shared import materialize
 _SEED = 42
 #: Shingles at a time, so that a very long text needs little memory.
 _CHUNK = 1 << 16
+#: Counters by which shingles are ordered, as many for any input; shingles that share one only cost time.
+_COUNTERS = 1 << 20
+#: Entries of a shingle that are paired in one part.
+_PART = 1024
 
 
 @dataclass(frozen=True)
@@ -124,12 +135,83 @@ def _buckets(sketches: DataFrame) -> DataFrame:
     return materialize(entries.join(crowded, ["v", "kept"]))
 
 
+def _rarity(texts: DataFrame, options: NearOptions) -> np.ndarray:
+    """Number of texts by counter; a shingle's counter is its hash modulo `_COUNTERS`."""
+
+    @F.pandas_udf("array<int>")
+    def counters(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([np.unique(shingle_hashes(v, options.shingle) % np.uint64(_COUNTERS)).astype("<i4") for v in batch], dtype=object)
+
+    counted = texts.select(F.explode(counters(F.col("text"))).alias("at")).groupBy("at").agg(F.count("*").alias("n")).toArrow()
+    table = np.zeros(_COUNTERS, dtype="<i8")
+    table[counted["at"].to_numpy()] = counted["n"].to_numpy()
+    return table
+
+
+def prefix_of(hashes: np.ndarray, rarity: np.ndarray, similarity: float) -> np.ndarray:
+    """The different shingles that count, rare ones first; a text without any has a shingle 0."""
+    different = np.unique(hashes)
+    if not len(different):
+        return np.zeros(1, dtype="<i8")
+    order = np.lexsort((different, rarity[different % np.uint64(len(rarity))]))
+    n = len(different) - math.ceil(similarity * len(different) - 1e-9) + 1
+    return different[order[:n]].view("<i8")
+
+
+def _prefix_entries(texts: DataFrame, options: NearOptions) -> DataFrame:
+    """(t, n, at, shingle): the prefix of each text, `at` being the place in the common order."""
+    rarity = texts.sparkSession.sparkContext.broadcast(_rarity(texts, options))
+
+    @F.pandas_udf("struct<n: long, prefix: array<long>>")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for value in batch:
+                hashes = shingle_hashes(value, options.shingle)
+                rows.append((len(np.unique(hashes)), prefix_of(hashes, rarity.value, options.similarity)))
+            yield pd.DataFrame(rows, columns=["n", "prefix"])
+
+    found = texts.select("t", of(F.col("text")).alias("p")).dropDuplicates(["t"])
+    return found.select("t", "p.n", F.posexplode("p.prefix").alias("at", "shingle"))
+
+
+def _left_over(texts: DataFrame, joined: DataFrame, options: NearOptions) -> DataFrame:
+    """(t, lead): every two texts of different components that may reach the similarity.
+
+    Pairs of a shingle that many texts have are made in parts, each of at most `_PART` texts against all.
+    """
+    entries = _prefix_entries(texts, options).join(joined, "t", "left").withColumn("c", F.coalesce("c", "t"))
+    entries = materialize(entries)
+    crowded = entries.groupBy("shingle").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("m"))
+    crowded = crowded.filter("low < high").select("shingle", F.ceil(F.col("m") / _PART).cast("int").alias("parts"))
+    open_ = materialize(entries.join(crowded, "shingle"))
+    a = open_.withColumn("part", F.pmod(F.xxhash64("t"), F.col("parts")).cast("int")).alias("a")
+    b = open_.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
+    x, y = (lambda name: F.col(f"a.{name}")), (lambda name: F.col(f"b.{name}"))
+    sizes = F.least(x("n"), y("n")) >= F.lit(options.similarity) * F.greatest(x("n"), y("n")) - 1e-9
+    # nothing before the first shingle that both have is in both
+    most = F.least(x("n") - x("at"), y("n") - y("at"))
+    enough = most >= F.lit(options.similarity / (1 + options.similarity)) * (x("n") + y("n")) - 1e-9
+    same = (x("shingle") == y("shingle")) & (x("part") == y("part"))
+    pairs = a.join(b, same & (x("t") < y("t")) & (x("c") != y("c")) & sizes & enough)
+    return materialize(pairs.select(x("t").alias("t"), y("t").alias("lead")).distinct())
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, options: NearOptions) -> DataFrame:
+    """(a, b): the pairs whose sets of shingles have the similarity."""
+    wanted = pairs.select("t").unionByName(pairs.select(F.col("lead").alias("t"))).distinct()
+    read = materialize(texts.join(wanted, "t", "left_semi").dropDuplicates(["t"]))
+    both = pairs.join(read, "t").join(read.select(F.col("t").alias("lead"), F.col("text").alias("other")), "lead")
+    alike = both.withColumn("alike", _alike(F.col("text"), F.col("other"), options)).filter("alike")
+    return materialize(alike.select(F.col("t").alias("a"), F.col("lead").alias("b")))
+
+
 def near_components(texts: DataFrame, options: NearOptions = NearOptions()) -> DataFrame:
     """(t, component) of every text that met another one; `texts` holds (t BIGINT, text), t standing for the text.
 
     Texts link if their sets of shingles have the similarity or more; words part at ASCII white space, A-Z count as
-    a-z. NULL and blank texts have no shingle and link to each other. What the passages do not bring together, or
-    only in buckets led by unrelated texts, is not found: the README says how much that is.
+    a-z. NULL and blank texts have no shingle and link to each other. All links between components are found.
     """
     sketches = materialize(texts.select("t", _sketch(F.col("text"), options).alias("s")).dropDuplicates(["t"]))
     open_ = _buckets(sketches)
@@ -145,11 +227,7 @@ def near_components(texts: DataFrame, options: NearOptions = NearOptions()) -> D
         leaders = materialize(leaders.filter("low < high").select("v", "kept", "lead"))
         pairs = placed.join(leaders, ["v", "kept"]).filter("c != lead.c").filter(_plausible(F.col("s"), F.col("lead.s"), options))
         pairs = materialize(pairs.select("t", F.col("lead.t").alias("lead")).distinct())
-        wanted = pairs.select("t").unionByName(pairs.select(F.col("lead").alias("t"))).distinct()
-        read = materialize(texts.join(wanted, "t", "left_semi").dropDuplicates(["t"]))
-        both = pairs.join(read, "t").join(read.select(F.col("t").alias("lead"), F.col("text").alias("other")), "lead")
-        alike = both.withColumn("alike", _alike(F.col("text"), F.col("other"), options)).filter("alike")
-        found = materialize(alike.select(F.col("t").alias("a"), F.col("lead").alias("b")))
+        found = _confirmed(pairs, texts, options)
         if found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
@@ -159,7 +237,9 @@ def near_components(texts: DataFrame, options: NearOptions = NearOptions()) -> D
         )
         still = placed.join(leaders.select("v", "kept", "lead.t"), ["v", "kept", "t"], "left_anti")
         open_ = still.join(leaders.select("v", "kept"), ["v", "kept"], "left_semi")
-    return joined.select("t", F.col("c").alias("component"))
+    found = _confirmed(_left_over(texts, joined, options), texts, options)
+    links = found if links is None else links.unionByName(found)
+    return components(links).select(F.col("node").alias("t"), "component")
 
 
 def one_of_each(

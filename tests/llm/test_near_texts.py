@@ -71,6 +71,21 @@ def test_near_components_against_all_pairs(spark):
     assert set(want) <= set(kept) and len(kept) <= 1.1 * len(set(want))
 
 
+def test_short_and_passage_rich_near_copies_are_all_found(spark):
+    """Pairs of 50 to 60 words, and pairs of which 3/4 is a passage that 300 unlike texts share, with 1 to 3 edits."""
+    rng = random.Random(23)
+    fresh = lambda n: [f"w{rng.randrange(30000)}" for _ in range(n)]
+    common = fresh(90)
+    texts = [common + fresh(rng.randrange(60, 90)) for _ in range(300)]
+    for k in range(250):
+        base = fresh(rng.randrange(50, 61)) if k % 2 else common + fresh(30)
+        texts += [base, edited(rng, base, rng.randrange(1, 4))]
+    texts = [" ".join(t) for t in texts]
+    want = groups_of(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in near_texts.one_of_each(docs).collect()) == sorted(set(want))
+
+
 def test_one_edit_changes_few_passages():
     rng = random.Random(2)
     words = [f"w{rng.randrange(500)}" for _ in range(300)]
