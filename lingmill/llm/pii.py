@@ -27,6 +27,17 @@ IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:
 NANP = re.compile(r"(?<![0-9+])\([2-9][0-9]{2}\)\x20?[2-9][0-9]{2}-[0-9]{4}(?![0-9])")
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 
+#: Characters of an account number by country.
+IBAN_LENGTH = {
+    entry[:2]: int(entry[2:])
+    for entry in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 "
+        "FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 "
+        "LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 "
+        "RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+    ).split()
+}
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "nanp", "ssn")
 
@@ -71,6 +82,19 @@ def mod_97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1
 
 
+def iban_end(text: str, start: int, end: int) -> int | None:
+    """End of the number at `start` that passes mod 97: where its country's length ends, or else at `end`."""
+    length, ends = IBAN_LENGTH.get(text[start : start + 2]), [end]
+    if length:
+        places = [at for at in range(start, end) if text[at] != " "]
+        ends = [places[length - 1] + 1] * (len(places) >= length) + ends
+    for at in ends:
+        whole = at == len(text) or not (text[at].isascii() and text[at].isalnum())
+        if whole and 15 <= len(text[start:at].replace(" ", "")) <= 34 and mod_97(text[start:at]):
+            return at
+    return None
+
+
 def _only_digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
@@ -110,21 +134,35 @@ def find_pii(text: str | None, options: PiiOptions = PiiOptions()) -> list[tuple
     """(kind, start, end, score) by kind as listed, then start; places are code points, end exclusive.
 
     Matches are the leftmost that do not overlap, kind by kind; one that its validator turns down is dropped
-    and the search goes on behind it.
+    and the search goes on behind it. An iban may end earlier than its pattern does (`iban_end`).
     """
     found = []
     has_digit = bool(text) and _DIGIT.search(text) is not None
     for kind, pattern, needs, valid, checked in _RULES:
         if not text or needs not in text or not (has_digit or kind == "email"):
             continue
-        for m in pattern.finditer(text):
-            if valid is None or valid(m.group()):
-                score = _score(text, kind, *m.span(), checked, options)
+        for start, end in _ibans(text) if kind == "iban" else (m.span() for m in pattern.finditer(text)):
+            if valid is None or valid(text[start:end]):
+                score = _score(text, kind, start, end, checked, options)
                 if kind in BASE or score >= options.min_score:
-                    found.append((kind, *m.span(), score))
+                    found.append((kind, start, end, score))
     return found
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Places of the account numbers. The pattern also takes capitals and digits that follow a number, and may begin
+    with a word before it; so the country's length is tried first, and if none holds the search goes on one character
+    further."""
+    at = 0
+    while m := IBAN.search(text, at):
+        end = iban_end(text, *m.span())
+        if end is None:
+            at = m.start() + 1
+        else:
+            yield m.start(), end
+            at = end
+
+
 def pii_spans(text: Column, options: PiiOptions = PiiOptions()) -> Column:
     """ARRAY of STRUCT(kind, start, end, score) of a text column; empty for NULL."""
 

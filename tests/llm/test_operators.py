@@ -202,6 +202,17 @@ def test_pii_checks_and_context():
     assert pii.mask_text("call +1 (212) 555-0101 now") == "call [PHONE] now"
 
 
+@pytest.mark.parametrize(
+    "number",
+    ["ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "DE89370400440532013000"],
+)
+@pytest.mark.parametrize("after", ["", " 2024", " THIS", " NOW", " AND 12 MORE", " BIC ABCDEFGH", "-7", "."])
+def test_iban_before_capitals_and_digits(number, after):
+    for before in ("", "PAY TO ", "REF AB12 CODE "):
+        spans = [(s, e) for k, s, e, _ in pii.find_pii(before + number + after) if k == "iban"]
+        assert spans == [(len(before), len(before) + len(number))]
+
+
 def test_secrets_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("crc32(cast(doc_id as string)) % 5 = 0")
     found = queries.op10_secret_scan(spark, "/root/testdata/sf0.1").filter("is_secret").join(docs, "doc_id")
