@@ -8,7 +8,6 @@ from catalogue import inputs as src
 from catalogue.language import model
 from catalogue.pages import TARGETS
 from catalogue.registry import query
-from lingmill.operators import dataset as ds
 from lingmill.operators import fetch, warc
 from lingmill.operators import links as lk
 from lingmill.plans import parse
@@ -55,9 +54,8 @@ def parsed_urls_by_lang(spark, sf):
         F.array().cast("array<struct<text:string,language:string>>").alias("segments"),
         lk.link_array(F.col("url"), F.col("html")).alias("parsed_urls"),
     )
-    for label in src.LABELS.values():
-        writers.write_json_lines(parsed.filter(F.col("label") == label).drop("label"), f"{folder}/{label}/parsed")
-    crawled = readers.parsed_pages(spark, folder).select("label", "url")
+    writers.write_parsed_by_label(parsed, folder)
+    crawled = readers.parsed_pages_by_label(spark, folder).select("label", "url")
     writers.write_urls_by_label(crawled, f"{folder}-urls", label="label")
     listed = spark.read.schema("value STRING, label STRING").text(f"{folder}-urls")
     return listed.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
@@ -67,10 +65,8 @@ def parsed_urls_by_lang(spark, sf):
 def segments_from_files(spark, sf):
     """Text folders per language, language and script read back from the folder names."""
     folder = run_folder(spark, "text")
-    rows = src.corpus_rows(spark, sf)
-    for label in src.LABELS.values():
-        ds.dataset_language_filter(rows, label).select("text").write.text(f"{folder}/{label}/textual_outputs")
-    found = readers.segment_files(spark, folder)
+    writers.write_text_by_label(src.corpus_rows(spark, sf), folder)
+    found = readers.text_by_label(spark, folder)
     return found.groupBy("text", "language", "script").agg(F.count(F.lit(1)).alias("n"))
 
 

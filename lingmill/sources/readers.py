@@ -35,6 +35,11 @@ def parsed_pages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def parsed_pages_by_label(spark: SparkSession, path: str) -> DataFrame:
+    """Parsed pages that were written with one folder per label, rows without a label among them."""
+    return spark.read.schema(f"{schemas.PARSED_PAGE}, label STRING").json(path)
+
+
 def url_list(spark: SparkSession, path: str | None = None, seed_url: str | None = None) -> DataFrame:
     """Seed URLs, one per line, gz or plain, blanks dropped; a single `seed_url` wins."""
     if seed_url is not None:
@@ -67,6 +72,12 @@ def segment_files(spark: SparkSession, path: str, languages: Iterable[str] | Non
     )
 
 
+def text_by_label(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines that were written with one folder per (language, script): text, language, script."""
+    found = spark.read.schema("value STRING, language STRING, script STRING").text(path)
+    return found.select(F.col("value").alias("text"), "language", "script")
+
+
 def round_segments(spark: SparkSession, path: str) -> DataFrame:
     """Segment lines that crawl rounds wrote, one folder per (round, language): text, round, label."""
     found = spark.read.schema("value STRING, round INT, language STRING").text(path)

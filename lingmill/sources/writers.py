@@ -49,6 +49,21 @@ def write_urls_by_label(urls: DataFrame, path: str, label: str = "lang_script",
     )
 
 
+def write_parsed_by_label(parsed: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Parsed pages as gz JSON lines, one folder per `label` in one write; NULL has a folder of its own."""
+    _by_label(parsed, "label").write.mode(mode).partitionBy("label").option("compression", "gzip").json(path)
+
+
+def write_text_by_label(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Text lines, one folder per (language, script) in one write; NULL has a folder of its own."""
+    (
+        _by_label(rows.select("text", "language", "script"), "language", "script")
+        .write.mode(mode)
+        .partitionBy("language", "script")
+        .text(path)
+    )
+
+
 def write_dataset(df: DataFrame, path: str, max_rows: int = 500_000, mode: str = "overwrite") -> None:
     """The corpus as zstd Parquet, one folder per (language, script), files of at most `max_rows`."""
     (
