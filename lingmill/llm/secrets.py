@@ -12,21 +12,25 @@ from dataclasses import dataclass
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lingmill.functions.bind import bind
 from lingmill.llm.common import BLANKS
 from lingmill.sources.shared import materialize
 
-#: A run of at least 16 characters of keys, hashes and encoded bytes.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+#: A whole run of at least 16 characters of keys, hashes and encoded bytes, with the padding of base64 behind it.
+#: The name in NAME=value is none: it stands before the candidate.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?!=+[A-Za-z0-9+/_-])={0,2}"
 #: Letters that can be a dictionary word.
 _RUN = r"[a-z]{4,}"
 
 # Words near a candidate that speak for and against a secret.
-_FOR = r"(?i)\b(secret|token|passw(or)?d|passwd|pwd|api|key|auth|bearer|credentials?)\b"
-_AGAINST = r"(?i)\b(example|sample|dummy|test|your|changeme|placeholder|commit|sha1|sha256|md5|checksum|uuid|id)\b"
+_FOR = r"(?i)(?<![a-z])(secret|token|passw(or)?d|passwd|pwd|api|key|auth|bearer|credentials?)(?![a-z])"
+_AGAINST = (
+    r"(?i)(?<![a-z])(example|sample|dummy|test|your|changeme|placeholder|commit|revision|digest|etag|integrity"
+    r"|sha1|sha256|md5|checksum|uuid|id)(?![a-z])"
+)
 _TEST_PATH = r"(?i)(test|example|sample|mock|fixture|doc)"
 
 
@@ -222,8 +226,42 @@ def scan_secrets(
 def findings_by_rule(found: DataFrame) -> DataFrame:
     """Labels for candidates where context leaves no doubt: 1 for letters and digits that are assigned, in quotes,
     to the name of a secret; 0 for all that are neither assigned nor near such a name."""
-    named = F.rlike("before", F.lit(r"""(?i)\b(secret|token|passw(or)?d|api[_-]?key)["']?\s*[:=]\s*["']$"""))
+    named = F.rlike("before", F.lit(r"""(?i)(?<![a-z])(secret|token|passw(or)?d|api[_-]?key)["']?\s*[:=]\s*["']$"""))
     mixed = F.rlike("candidate", F.lit("[0-9]")) & F.rlike("candidate", F.lit("[A-Za-z]"))
     clear = ~F.rlike("before", F.lit(_FOR)) & ~F.rlike("before", F.lit("[=:]\\s*[\"']?$"))
     label = F.when(named & mixed, 1).when(clear, 0)
     return found.withColumn("label", label).filter("label is not null")
+
+
+# What stands before and behind a value that was made as a secret (1) or as something else (0).
+_MADE = (
+    (1, 'token = "', '"'), (1, "API_KEY=", "\n"), (1, "export AWS_SECRET_KEY=", "\n"), (1, "DB_PASSWORD=", "\n"),
+    (1, "https://h.org/a?token=", "&x=1"), (1, "https://h.org/a?api_key=", " "), (1, "Authorization: Bearer ", "\n"),
+    (1, "secret: '", "'"), (1, '"password": "', '"'), (1, "auth_token=", "\n"),
+    (0, 'commit = "', '"'), (0, 'checksum = "', '"'), (0, "sha256: ", "\n"), (0, "md5=", "\n"), (0, 'digest = "', '"'),
+    (0, 'etag: "', '"'), (0, "GIT_COMMIT=", "\n"), (0, "https://h.org/a?commit=", " "), (0, 'revision = "', '"'),
+    (0, "uuid: '", "'"), (0, "CHECKSUM=", "\n"), (0, 'integrity = "', '"'), (0, 'example token = "', '"'),
+)
+#: Values made for each form.
+_MADE_VALUES = 40
+
+
+def made_findings(spark: SparkSession, options: SecretOptions = SecretOptions()) -> DataFrame:
+    """Labelled findings whose label is known as they are made, not by a rule over features.
+
+    Every form of `_MADE` holds the same kinds of values (hexadecimal of 32, 40 and 64 characters, base64), so a value
+    tells nothing: assigned hashes are the hard negatives, .env lines and URLs the secrets without quotes.
+    """
+    forms = F.array(*(F.struct(F.lit(n).alias("label"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, a, b in _MADE))
+    each = spark.range(_MADE_VALUES).select("id", F.explode(forms).alias("form"))
+    seed = F.concat_ws(" ", F.col("id").cast("string"), "form.label", "form.a")
+    value = (
+        F.when(F.col("id") % 4 == 0, F.sha1(seed))
+        .when(F.col("id") % 4 == 1, F.sha2(seed, 256))
+        .when(F.col("id") % 4 == 2, F.upper(F.md5(seed)))
+        .otherwise(F.base64(F.unhex(F.sha1(seed))))
+    )
+    text = F.concat(F.lit("set here "), F.col("form.a"), value, F.col("form.b"))
+    rows = each.select(F.col("form.label").alias("label"), text.alias("text"), F.lit("src").alias("source"))
+    found = candidates(rows, "label", "text", "source", options)
+    return found.withColumnRenamed("id", "label").select("candidate", "before", "after", "path", "label")
