@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import licenses, lid, line_quality, mixing, pieces, pii, ring, secrets, simhash, topk
+from lingmill.llm import licenses, lid, line_quality, mixing, pieces, pii, ring, secrets, simhash, spelling, topk
 from lingmill.llm.common import table
 
 
@@ -160,6 +160,13 @@ def op3_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # every 199th run of a document loses a letter
+    options = spelling.SpellingOptions(damage=199)
+    found = spelling.spelling_variants(table(spark, sf_dir, "documents"), options=options)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -173,6 +180,7 @@ QUERIES = {
         op8_sentencepiece,
         op9_pii,
         op10_secret_scan,
+        op11_spelling_variants,
     )
 }
 
