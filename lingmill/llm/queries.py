@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import licenses, lid, line_quality, mixing, pieces, pii, ring, secrets, simhash, spelling, topk
+from lingmill.llm import licenses, lid, line_quality, mixing, pieces, pii, ring, secrets, simhash, spelling, topk, whitening
 from lingmill.llm.common import table
 
 
@@ -167,6 +167,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # NULL where a BIGINT cannot hold it; `deviation_exact` always can
+    return found.withColumn("deviation_exact", F.col("deviation")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -181,6 +187,7 @@ QUERIES = {
         op9_pii,
         op10_secret_scan,
         op11_spelling_variants,
+        op13_feast_whitening,
     )
 }
 
