@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import licenses, lid, line_quality, mixing, pieces, pii, ring, secrets, simhash, spelling, topk, whitening
+from lingmill.llm import licenses, lid, line_quality, mixing, pieces, pii, ring, secrets, simhash, spelling, topk, toxicity, whitening
 from lingmill.llm.common import table
 
 
@@ -167,6 +167,14 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op12_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = toxicity.learn_toxicity(docs, labels.filter(~held_out))
+    found = toxicity.score_toxicity(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "clauses")
+
+
 def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(table(spark, sf_dir, "embeddings"))
     # NULL where a BIGINT cannot hold it; `deviation_exact` always can
@@ -187,6 +195,7 @@ QUERIES = {
         op9_pii,
         op10_secret_scan,
         op11_spelling_variants,
+        op12_toxicity_grammar,
         op13_feast_whitening,
     )
 }
