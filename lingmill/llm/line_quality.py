@@ -32,7 +32,7 @@ class LineLimits:
 
     min_documents: int = 10
     max_share: float = 0.1
-    max_texts: int | None = None
+    max_texts: int | None = 100
     max_removed: float = 0.5
     min_words: int = 50
     max_repeated: float = 0.5
@@ -197,7 +197,8 @@ def clean_lines_and_keep(
 ) -> DataFrame:
     """The kept rows of `docs` with all their columns, frequent lines taken out of `text`.
 
-    Same verdicts as `line_quality`. A text without frequent lines is returned as it is.
+    Same verdicts as `line_quality`, so NULL, empty and blank texts go. A text without frequent lines is returned as it is.
+    Repeated rows stay repeated; an empty table gives an empty result.
     """
     h1, h2 = text_key(F.col(text))
     keyed = docs.select(F.xxhash64(host).alias("host"), h1.alias("h1"), h2.alias("h2"), F.col(text).alias("text"))

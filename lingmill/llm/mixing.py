@@ -27,10 +27,10 @@ from lingmill.sources.shared import materialize
 @dataclass(frozen=True)
 class MixingOptions:
     """`train_rows` bounds the labelled rows that the classifier learns from, drawn per domain by hash, as many
-    of each. `buckets` is the number of hashed word features. Posteriors are rounded to `levels` steps;
-    documents with the same rounded posterior have the same rate, so they are folded before the steps. `whole`
-    names the domains that do not shrink when no total is given (none: all of them). A rate from `keep_from` on
-    gives one copy at least."""
+    of each. `buckets` is the number of hashed word features. The roots of posteriors are rounded to `levels` steps, so
+    small posteriors have fine ones; documents with the same rounded posterior have the same rate and are folded before
+    the steps. `whole` names the domains that do not shrink when no total is given (none: all of them); a document that
+    belongs to them with a posterior of `sure` or more then has a rate of 1 or more."""
 
     train_rows: int = 6000
     buckets: int = 1 << 17
@@ -42,7 +42,7 @@ class MixingOptions:
     common: float = 0.005
     shrink: float = 1e-4
     whole: tuple[str, ...] = ()
-    keep_from: float = 0.5
+    sure: float = 0.9
 
 
 @dataclass(frozen=True)
@@ -83,7 +83,8 @@ def learn_domains(
     )
     drawn = labels.groupBy("domain", F.pmod("h", F.lit(each)).alias("bucket")).agg(F.min("h").alias("h"))
     chosen = labels.join(drawn.select("domain", "h"), ["domain", "h"], "left_semi").select("id", "domain")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(chosen, "id")
+    # train_rows ids at most, so the texts are not shuffled for them
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
 
     @F.pandas_udf("binary")
     def features(texts: pd.Series) -> pd.Series:
@@ -139,7 +140,7 @@ def _softmax_regression(lengths, columns, target, weights, bias, options):
 
 
 def with_posteriors(docs: DataFrame, model: DomainModel, text: Column, options: MixingOptions) -> DataFrame:
-    """`docs` with `_mix`: STRUCT(tokens, levels), the words of the text and its posterior in whole steps."""
+    """`docs` with `_mix`: STRUCT(tokens, levels), the words of the text and the roots of its posterior in whole steps."""
 
     @F.pandas_udf("tokens long, levels array<int>")
     def posterior(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -148,7 +149,7 @@ def with_posteriors(docs: DataFrame, model: DomainModel, text: Column, options:
             for value in batch:
                 columns, n = _features(value, options.buckets)
                 logits = model.weights[columns].sum(axis=0, dtype=float) + model.bias
-                levels.append(np.rint(_softmax(logits) * options.levels).astype(np.int32))
+                levels.append(np.rint(np.sqrt(_softmax(logits)) * options.levels).astype(np.int32))
                 tokens.append(n)
             yield pd.DataFrame({"tokens": tokens, "levels": levels})
 
@@ -156,8 +157,9 @@ def with_posteriors(docs: DataFrame, model: DomainModel, text: Column, options:
 
 
 def _posterior(levels: Column, n: int) -> list[Column]:
-    whole = sum((F.get(levels, F.lit(d)) for d in range(n)), F.lit(0))
-    return [F.get(levels, F.lit(d)) / whole for d in range(n)]
+    squares = [F.get(levels, F.lit(d)) * F.get(levels, F.lit(d)) for d in range(n)]
+    whole = sum(squares, F.lit(0))
+    return [s / whole for s in squares]
 
 
 def fit_rates(
@@ -166,8 +168,9 @@ def fit_rates(
     """(levels, rate): the rate for each different posterior in `memberships` (levels, tokens).
 
     `targets` are the weights of the domains, in the order of the posterior; they are scaled to sum to 1. `total` is
-    the number of tokens wanted; by default it is the smallest at which no domain of `whole` has to shrink. Step sizes are those of
-    Barzilai and Borwein. The fit ends when the expected shares no longer move by `tolerance`, or after
+    the number of tokens wanted; by default it is the smallest at which no domain of `whole` has to shrink and no document that
+    is `sure` to belong to them has a rate below 1 (all rates times one factor keep the shares). Step sizes
+    are those of Barzilai and Borwein. The fit ends when the expected shares no longer move by `tolerance`, or after
     `steps` steps. Without tokens every rate is 1.
     """
     n, names = len(targets), [f"e{d}" for d in range(len(targets))]
@@ -193,8 +196,8 @@ def fit_rates(
         return np.array([row[c] for c in names]), row["moved"]
 
     expected, _ = totals(state)
+    whole = [d for d, name in enumerate(targets) if name in (options.whole or targets) and weights[d] > 0]
     if total is None:
-        whole = [d for d, name in enumerate(targets) if name in (options.whole or targets) and weights[d] > 0]
         wanted = max(expected[d] / weights[d] for d in whole) * weights
     else:
         wanted = weights * total / all_tokens
@@ -214,14 +217,19 @@ def fit_rates(
             break
         curve = float(change @ change) + options.pull * distance
         size = float(np.clip(distance / curve, 1.0, 1 / options.pull)) if curve > 0 else 1.0
-    return materialize(state.select("levels", "rate"))
+    state = materialize(state)
+    if total is None:
+        belongs = sum((F.col(f"p{d}") for d in whole), F.lit(0.0)) >= options.sure
+        least = state.filter(belongs).agg(F.min("rate")).first()[0]
+        if least and least < 1:
+            state = state.withColumn("rate", F.col("rate") / least)
+    return state.select("levels", "rate")
 
 
-def _copies(rate: Column, key: Column, keep_from: float) -> Column:
-    """Whole copies whose mean over keys is the rate: rounded up for the share of keys that its fraction is.
-    Rates from `keep_from` to 1 are all rounded up."""
+def _copies(rate: Column, key: Column) -> Column:
+    """Whole copies whose mean over keys is the rate: rounded up for the share of keys that its fraction is."""
     chance = F.pmod(F.xxhash64(key), F.lit(1 << 20)) / (1 << 20)
-    return F.when(rate.between(keep_from, 1), 1).otherwise(F.floor(rate + chance).cast("int"))
+    return F.floor(rate + chance).cast("int")
 
 
 def mixing_rates(
@@ -250,7 +258,7 @@ def mixing_rates(
         "tokens",
         F.array(*_posterior(F.col("levels"), len(targets))).alias("posterior"),
         "rate",
-        _copies(F.col("rate"), F.col("id"), options.keep_from).alias("copies"),
+        _copies(F.col("rate"), F.col("id")).alias("copies"),
     )
 
 
@@ -264,12 +272,15 @@ def mixed(
     total: float | None = None,
     options: MixingOptions = MixingOptions(),
 ) -> DataFrame:
-    """`docs` with all its columns, each row as often as its rate says."""
+    """`docs` with all its columns, each row as often as its rate says.
+
+    NULL and empty texts, repeated rows and NULL ids are treated as in `mixing_rates`; an empty table gives an empty result.
+    """
     model = learn_domains(docs, labelled, tuple(targets), id_col, text, label, options)
     rows = docs.select(F.struct("*").alias("row"))
     rows = with_posteriors(rows, model, F.col("row")[text], options)
     rates = fit_rates(rows.select("_mix.levels", "_mix.tokens"), targets, total, options)
-    copies = _copies(F.col("rate"), F.col("row")[id_col], options.keep_from)
+    copies = _copies(F.col("rate"), F.col("row")[id_col])
     joined = rows.select("row", F.col("_mix.levels").alias("levels")).join(rates, "levels").withColumn("n", copies)
     repeated = joined.filter("n > 0").withColumn("n", F.explode(F.sequence(F.lit(1), F.col("n"))))
     return repeated.select(*(F.col("row")[c].alias(c) for c in docs.columns))

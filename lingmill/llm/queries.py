@@ -52,7 +52,7 @@ above AS (
     SELECT source, line
     FROM (SELECT source, line, count(DISTINCT body) AS n FROM lines GROUP BY ALL)
     JOIN (SELECT source, count(DISTINCT body) AS texts FROM docs GROUP BY ALL) USING (source)
-    WHERE n >= 10 AND n > 0.1::DOUBLE * texts
+    WHERE n >= 10 AND (n > 0.1::DOUBLE * texts OR n >= 100)
 ),
 lost AS (
     SELECT doc_id, sum(n) AS removed_words FROM lines JOIN above USING (source, line) GROUP BY doc_id

@@ -120,3 +120,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """
     found = _labelled(docs, id_col, text, shingle)
     return found.select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """One row of `docs`, with all its columns, for each group of near-duplicates.
+
+    It is the row with the smallest id, NULL ids last, then by a hash of the text; of repeated rows any one. NULL,
+    empty and blank texts are one group, with any that their fingerprint links to. An empty table gives an empty
+    result; only the id and the text are read, whatever else the columns are called.
+    """
+    found = materialize(_labelled(docs, id_col, text, shingle).select("id", "h1", "h2", "component"))
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h1", "h2")).alias("least")
+    chosen = found.groupBy("component").agg(least).select("least.id", "least.h1", "least.h2")
+    counted = found.groupBy("id", "h1", "h2").agg(F.count("*").alias("rows"))
+
+    def same(a: DataFrame, b: DataFrame) -> Column:
+        return a["id"].eqNullSafe(b["id"]) & (a["h1"] == b["h1"]) & (a["h2"] == b["h2"])
+
+    others = counted.join(chosen, same(counted, chosen), "left_anti").select("id", "h1", "h2")
+    several = counted.filter("rows > 1")
+    several = several.join(chosen, same(several, chosen), "left_semi").select("id", "h1", "h2")
+    others, several = materialize(others), materialize(several)
+    h1, h2 = text_key(F.col("row")[text])
+    rows = docs.select(F.struct("*").alias("row")).select("row", F.col("row")[id_col].alias("id"), h1.alias("h1"), h2.alias("h2"))
+    # only rows that are there several times have to be brought together
+    gone = others.unionByName(several)
+    once = rows.join(gone, same(rows, gone), "left_anti")
+    repeated = rows.join(several, same(rows, several), "left_semi").dropDuplicates(["id", "h1", "h2"])
+    return once.unionByName(repeated).select(*(F.col("row")[c].alias(c) for c in docs.columns))

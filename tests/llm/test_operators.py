@@ -122,7 +122,8 @@ def test_rates_are_those_of_the_least_squares_optimum(spark):
     targets = {"a": 0.3, "b": 0.3, "c": 0.4}
     options = mixing.MixingOptions(steps=300, tolerance=1e-9, pull=1e-2)
     rates = {tuple(r["levels"]): r["rate"] for r in mixing.fit_rates(table, targets, sum(tokens), options).collect()}
-    p, w = np.array(levels) / 64, np.array(tokens) / sum(tokens)
+    p, w = np.array(levels) ** 2.0, np.array(tokens) / sum(tokens)
+    p /= p.sum(axis=1, keepdims=True)
     r = np.array([rates[tuple(x)] for x in levels])
     want = np.array(list(targets.values()))
 
@@ -135,6 +136,32 @@ def test_rates_are_those_of_the_least_squares_optimum(spark):
     assert (r >= 0).all() and loss(r) <= loss(plain) + 1e-6
 
 
+def test_copies_keep_the_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labelled = queries.labelled_domains(spark, "/root/testdata/sf0.1")
+    found = mixing.mixing_rates(docs, labelled, queries.TARGETS, options=queries.MIXING).toPandas()
+    p = np.stack(found["posterior"].to_numpy())
+    for times in ("rate", "copies"):
+        tokens = (found["tokens"] * found[times]).to_numpy()
+        assert np.abs(tokens @ p / tokens.sum() - list(queries.TARGETS.values())).max() < 0.01
+    sure = p[:, 0] + p[:, 1] >= queries.MIXING.sure
+    assert (found["copies"][sure] >= 1).all() and (found["copies"] == 0).any()
+    # the mean over many keys is the rate
+    assert abs(found["copies"].mean() - found["rate"].mean()) < 0.02
+
+
+def test_one_of_each_keeps_the_smallest_id_of_a_component(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.unionByName(docs.filter("doc_id % 7 = 0")).unionByName(docs.filter("doc_id % 9 = 0").withColumn("doc_id", F.col("doc_id") + 5000))
+    groups = {}
+    for r in simhash.near_duplicates(rows).collect():
+        groups.setdefault(r["component_id"], set()).add(r["doc_id"])
+    kept = simhash.one_of_each(rows).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(min(g) for g in groups.values())
+    texts = {r["doc_id"]: r["text"] for r in rows.collect()}
+    assert all(texts[r["doc_id"]] == r["text"] for r in kept)
+
+
 def test_licences_in_every_place():
     scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
     for name, text in licenses.TEMPLATES.items():
