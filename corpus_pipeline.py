@@ -9,14 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import line_quality, mixing, near_texts, pieces, pii, queries
+from lingmill.llm import line_quality, mixing, pieces, pii, queries, simhash
 from lingmill.llm.common import table
 from lingmill.sources.shared import run_folder
 
 
-#: Lines that this many different texts of a host share are removed, however many texts the host has.
-LINES = line_quality.LineLimits(max_texts=100)
-
 
 def _with_length(docs: DataFrame) -> DataFrame:
     """`n_chars` follows a changed text."""
@@ -25,12 +22,12 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are not depleted, without their hosts' frequent lines."""
-    return _with_length(line_quality.clean_lines_and_keep(docs, limits=LINES))
+    return _with_length(line_quality.clean_lines_and_keep(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, five words and a similarity of 0.8: the one with the smallest id."""
-    return near_texts.one_of_each(docs)
+    """One document of each group that fingerprints of three-word shingles link within two bits: the one with the smallest id."""
+    return simhash.one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
