@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lingmill.llm import licenses, lid, line_quality, mixing, pieces, pii, ring, secrets, simhash, spelling, topk, toxicity, whitening
 from lingmill.llm.common import table
+from lingmill.sources.shared import materialize
 
 
 def op1_lid_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,11 +148,11 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    found = materialize(secrets.candidates(docs, "doc_id", "text", "source", secrets.SecretOptions()))
     # findings of four fifths of the documents, labelled where their context is clear, and made ones
-    part = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    found = secrets.candidates(part, "doc_id", "text", "source", secrets.SecretOptions())
-    known = secrets.findings_by_rule(found).select("candidate", "before", "after", "path", "label")
-    return secrets.scan_secrets(docs, known.unionByName(secrets.made_findings(spark)))
+    part = found.filter(F.crc32(F.col("id").cast("string")) % 5 != 0)
+    known = secrets.findings_by_rule(part).select("candidate", "before", "after", "path", "label")
+    return secrets.judge_candidates(found, docs, known.unionByName(secrets.made_findings(spark)))
 
 
 def op3_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

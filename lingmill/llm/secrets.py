@@ -20,10 +20,13 @@ from lingmill.llm.common import BLANKS
 from lingmill.sources.shared import materialize
 
 #: A whole run of at least 16 characters of keys, hashes and encoded bytes, with the padding of base64 behind it.
-#: The name in NAME=value is none: it stands before the candidate.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?!=+[A-Za-z0-9+/_-])={0,2}"
+#: The name in NAME=value, and one without digits in name = value or "name": value, is none: it stands before the candidate.
+CANDIDATE = (
+    r"(?<![A-Za-z0-9+/_-])(?![A-Za-z_-]++[\"']?[ \t]*+[:=])[A-Za-z0-9+/_-]{16,}+(?!=+[A-Za-z0-9+/_-])={0,2}"
+)
 #: Letters that can be a dictionary word.
-_RUN = r"[a-z]{4,}"
+_SHORTEST = 4
+_RUN = rf"[a-z]{{{_SHORTEST},}}"
 
 # Words near a candidate that speak for and against a secret.
 _FOR = r"(?i)(?<![a-z])(secret|token|passw(or)?d|passwd|pwd|api|key|auth|bearer|credentials?)(?![a-z])"
@@ -31,6 +34,8 @@ _AGAINST = (
     r"(?i)(?<![a-z])(example|sample|dummy|test|your|changeme|placeholder|commit|revision|digest|etag|integrity"
     r"|sha1|sha256|md5|checksum|uuid|id)(?![a-z])"
 )
+# How keys of some providers begin.
+_PREFIX = r"^(AKIA|ASIA|AIza|gh[pousr]_|github_pat_|glpat-|sk_live_|rk_live_|sk-|xox[abprs]-|npm_|pypi-)"
 _TEST_PATH = r"(?i)(test|example|sample|mock|fixture|doc)"
 
 
@@ -49,7 +54,7 @@ class SecretOptions:
 
 FEATURES = (
     "length", "digits", "upper", "marks", "class_changes", "different", "odds", "coverage",
-    "in_path", "test_path", "says_secret", "says_other", "assigned", "quoted",
+    "in_path", "test_path", "says_secret", "says_other", "assigned", "quoted", "known_prefix",
 )
 
 
@@ -94,21 +99,16 @@ def candidates(docs: DataFrame, id_col: str, text: str, path: str, options: Secr
 def _coverage(docs: DataFrame, text: str, tokens: DataFrame, options: SecretOptions) -> DataFrame:
     """(candidate, covered): letters of the candidate in dictionary words, for candidates that have any.
 
-    Only words that candidates have are counted in the corpus: the table of those words is joined with the words of
-    each document (different ones only) and counted before the shuffle.
+    The different words of each document are counted first, so that a task sends a word once at most; only
+    then the counts meet the words that candidates have.
     """
     runs = tokens.select("candidate", F.explode(F.regexp_extract_all(F.lower("candidate"), F.lit(_RUN), F.lit(0))).alias("word"))
     runs = materialize(runs)
-    wanted = materialize(runs.select("word").distinct())
-    words = docs.select(
-        F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^a-z]+"))).alias("word")
-    )
-    known = (
-        words.join(wanted, "word", "left_semi")
-        .groupBy("word")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= options.min_documents)
-    )
+    split = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^a-z]+"))
+    words = docs.select(F.explode(split).alias("word")).filter(F.length("word") >= _SHORTEST)
+    known = words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= options.min_documents)
+    wanted = runs.select("word").distinct()
+    known = known.join(wanted, "word", "left_semi")
     return runs.join(known.select("word"), "word").groupBy("candidate").agg(F.sum(F.length("word")).alias("covered"))
 
 
@@ -159,14 +159,24 @@ def features(rows: DataFrame) -> DataFrame:
             "coverage": F.coalesce("covered", F.lit(0)) / size,
             "in_path": yes(F.rlike("before", F.lit(r"[/\\.:]$")) & ~F.rlike("before", F.lit(r"[=\"']\s*:?$")) | F.contains("candidate", F.lit("/"))),
             "test_path": yes(F.rlike("path", F.lit(_TEST_PATH))),
-            "says_secret": yes(F.rlike("before", F.lit(_FOR))),
+            "says_secret": yes(F.rlike(F.regexp_replace("before", "([a-z])([A-Z])", "$1 $2"), F.lit(_FOR))),
             "says_other": yes(F.rlike("before", F.lit(_AGAINST)) | F.rlike("after", F.lit(_AGAINST))),
             "assigned": yes(F.rlike("before", F.lit("[=:]\\s*[\"']?$"))),
+            "known_prefix": yes(F.rlike("candidate", F.lit(_PREFIX))),
             "quoted": yes(F.rlike("before", F.lit("[\"']$")) & F.rlike("after", F.lit("^[\"']"))),
         }
     )
 
 
+def _out_of_fold(tokens: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(candidate, odds): those of a labelled candidate come from the other half of the labelled ones, so that the
+    forest does not learn from odds that already hold the label; those of all others from both halves."""
+    half = F.pmod(F.xxhash64("candidate", F.lit("fold")), F.lit(2))
+    parts = [_odds(labelled.filter(half == k).select("candidate"), labelled.filter(half != k)) for k in (0, 1)]
+    others = tokens.join(labelled.select("candidate"), "candidate", "left_anti")
+    return parts[0].unionByName(parts[1]).unionByName(_odds(others, labelled))
+
+
 def scan_secrets(
     docs: DataFrame,
     labelled: DataFrame,
@@ -179,26 +189,30 @@ def scan_secrets(
 
     `labelled` holds known findings: candidate, before, after, path, label (1 a secret, 0 not). Rows with a NULL
     candidate or label teach nothing; NULL words and paths count as empty. If the findings are all of one label, that
-    is every candidate's. Without any, the probability is NULL and nothing is a secret. NULL and empty texts have no
-    candidates; texts of any length are read whole. Repeated rows give repeated candidates; features depend on
-    the candidate alone where they are joined, so a candidate in a third of all rows is worked out once. An
-    empty table gives an empty result. Other columns are neither read nor returned.
+    is every candidate's. Without any, the probability is NULL and nothing is a secret. A probability of one half
+    is none. NULL and empty texts have no candidates; texts of any length are read whole. Repeated rows give
+    repeated candidates; features depend on the candidate alone where they are joined, so a candidate in a third of
+    all rows is worked out once. An empty table gives an empty result. Other columns are neither read nor returned.
     """
-    found = materialize(candidates(docs, id_col, text, path, options))
+    return judge_candidates(materialize(candidates(docs, id_col, text, path, options)), docs, labelled, id_col, text, options)
+
+
+def judge_candidates(
+    found: DataFrame, docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text: str = "text", options: SecretOptions = SecretOptions()
+) -> DataFrame:
+    """`scan_secrets` for candidates that are already there as a table (`found`, as `candidates` gives them)."""
     known = labelled.filter("candidate is not null and label is not null").select(
         "candidate", *(F.coalesce(c, F.lit("")).alias(c) for c in ("before", "after", "path")), F.col("label").cast("int").alias("label")
     )
     half = max(1, options.train_rows // 2)
     order = F.xxhash64("candidate", "before", "after", "path")
     known = known.withColumn("h", order).withColumn("bucket", F.pmod("h", F.lit(half)))
-    drawn = known.groupBy("label", "bucket").agg(F.min("h").alias("h")).select("label", "h")
-    train = materialize(
-        known.join(drawn, ["label", "h"], "left_semi").dropDuplicates(["label", "h"]).select("candidate", "before", "after", "path", "label")
-    )
+    row = F.struct("h", "candidate", "before", "after", "path")
+    train = materialize(known.groupBy("label", "bucket").agg(F.min(row).alias("row")).select("row.candidate", "row.before", "row.after", "row.path", "label"))
     tokens = materialize(found.select("candidate").union(train.select("candidate")).distinct())
     by_label = train.groupBy("candidate").agg(F.max("label").alias("label"))
     facts = materialize(
-        tokens.join(_coverage(docs, text, tokens, options), "candidate", "left").join(_odds(tokens, by_label), "candidate", "left")
+        tokens.join(_coverage(docs, text, tokens, options), "candidate", "left").join(_out_of_fold(tokens, by_label), "candidate", "left")
     )
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
 
@@ -219,7 +233,7 @@ def scan_secrets(
         "finding",
         F.col("candidate").alias("secret"),
         F.col("p").alias("probability"),
-        F.coalesce(F.col("p") >= 0.5, F.lit(False)).alias("is_secret"),
+        F.coalesce(F.col("p") > 0.5, F.lit(False)).alias("is_secret"),
     )
 
 
@@ -237,11 +251,26 @@ def findings_by_rule(found: DataFrame) -> DataFrame:
 _MADE = (
     (1, 'token = "', '"'), (1, "API_KEY=", "\n"), (1, "export AWS_SECRET_KEY=", "\n"), (1, "DB_PASSWORD=", "\n"),
     (1, "https://h.org/a?token=", "&x=1"), (1, "https://h.org/a?api_key=", " "), (1, "Authorization: Bearer ", "\n"),
-    (1, "secret: '", "'"), (1, '"password": "', '"'), (1, "auth_token=", "\n"),
+    (1, "secret: '", "'"), (1, '"password": "', '"'), (1, "auth_token=", "\n"), (1, "client_secret = ", "\n"),
+    (1, '"access_token" : "', '",'), (1, "passwd: ", "\n"), (1, "private_api_key = '", "'"),
     (0, 'commit = "', '"'), (0, 'checksum = "', '"'), (0, "sha256: ", "\n"), (0, "md5=", "\n"), (0, 'digest = "', '"'),
     (0, 'etag: "', '"'), (0, "GIT_COMMIT=", "\n"), (0, "https://h.org/a?commit=", " "), (0, 'revision = "', '"'),
     (0, "uuid: '", "'"), (0, "CHECKSUM=", "\n"), (0, 'integrity = "', '"'), (0, 'example token = "', '"'),
+    (0, '"integrity": "sha512-', '",'), (0, "url(data:image/png;base64,", ")"), (0, "file ", " was read"), (0, "fingerprint of ", "\n"),
+)
+#: Where names made of words stand: they are no secrets, even behind the name of one.
+_NAMED = (
+    'token = "', "key = ", "secret: ", "password = get(", "import ", "from ", "the ", "class ", "api_key=", "auth = ", "see /",
+    "call ", "key: ", "token_type = ", "credentials = ",
 )
+#: Where keys stand that are known by how they begin.
+_KEYED = ("use ", "key = ", 'x = "', "", "curl -u ", "AWS_ID=", "login with ")
+# Words that names are made of.
+_WORDS = (
+    "attention mask padding token type config session manager handler request response connection pool worker queue index "
+    "default value internal external abstract factory builder reader writer stream buffer translation location image "
+    "resource user account service client server database table column record message event listener callback option"
+).split()
 #: Values made for each form.
 _MADE_VALUES = 40
 
@@ -249,19 +278,49 @@ _MADE_VALUES = 40
 def made_findings(spark: SparkSession, options: SecretOptions = SecretOptions()) -> DataFrame:
     """Labelled findings whose label is known as they are made, not by a rule over features.
 
-    Every form of `_MADE` holds the same kinds of values (hexadecimal of 32, 40 and 64 characters, base64), so a value
-    tells nothing: assigned hashes are the hard negatives, .env lines and URLs the secrets without quotes.
+    Every form of `_MADE` holds the same kinds of values (hexadecimal of 32, 40 and 64 characters, base64 with all its
+    characters), so a value tells nothing: assigned hashes are the hard negatives, .env lines and URLs the secrets without
+    quotes. Names, paths and long words are never secrets, whatever stands before them; keys with the
+    beginning that their provider gives them always are.
     """
-    forms = F.array(*(F.struct(F.lit(n).alias("label"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, a, b in _MADE))
-    each = spark.range(_MADE_VALUES).select("id", F.explode(forms).alias("form"))
-    seed = F.concat_ws(" ", F.col("id").cast("string"), "form.label", "form.a")
+
+    def of(forms: tuple) -> DataFrame:
+        known = F.array(*(F.struct(F.lit(n).alias("label"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, a, b in forms))
+        each = spark.range(_MADE_VALUES).select("id", F.explode(known).alias("form"))
+        return each.withColumn("seed", F.concat_ws(" ", F.col("id").cast("string"), "form.label", "form.a"))
+
+    seed, kind = F.col("seed"), F.col("id") % 5
+    bytes_ = F.unhex(F.sha2(seed, 256))
     value = (
-        F.when(F.col("id") % 4 == 0, F.sha1(seed))
-        .when(F.col("id") % 4 == 1, F.sha2(seed, 256))
-        .when(F.col("id") % 4 == 2, F.upper(F.md5(seed)))
-        .otherwise(F.base64(F.unhex(F.sha1(seed))))
+        F.when(kind == 0, F.sha1(seed))
+        .when(kind == 1, F.sha2(seed, 256))
+        .when(kind == 2, F.upper(F.md5(seed)))
+        .when(kind == 3, F.base64(F.unhex(F.sha1(seed))))
+        .otherwise(F.substring(F.base64(bytes_), 1, 40))
+    )
+    words = F.array(*map(F.lit, _WORDS))
+    pick = lambda k: F.get(words, F.pmod(F.xxhash64(seed, F.lit(k)), F.lit(len(_WORDS))).cast("int"))
+    four = [pick(k) for k in range(4)]
+    name = (
+        F.when(kind == 0, F.concat_ws("_", *four))
+        .when(kind == 1, F.concat(four[0], *(F.initcap(w) for w in four[1:])))
+        .when(kind == 2, F.concat_ws("-", *four))
+        .when(kind == 3, F.concat_ws("/", *four))
+        .otherwise(F.concat(*four[:3], F.lit("ization")))
+    )
+    letters = F.regexp_replace(F.base64(bytes_), "[+/=]", "")
+    key = (
+        F.when(kind == 0, F.concat(F.lit("AKIA"), F.upper(F.substring(F.sha2(seed, 256), 1, 16))))
+        .when(kind == 1, F.concat(F.lit("ghp_"), F.substring(letters, 1, 36)))
+        .when(kind == 2, F.concat(F.lit("sk_live_"), F.substring(letters, 1, 24)))
+        .when(kind == 3, F.concat(F.lit("xoxb-"), F.substring(letters, 1, 30)))
+        .otherwise(F.concat(F.lit("AIza"), F.substring(letters, 1, 35)))
+    )
+    rows = (
+        of(_MADE).withColumn("value", value)
+        .unionByName(of(tuple((0, a, " ") for a in _NAMED)).withColumn("value", name))
+        .unionByName(of(tuple((1, a, " ") for a in _KEYED)).withColumn("value", key))
     )
-    text = F.concat(F.lit("set here "), F.col("form.a"), value, F.col("form.b"))
-    rows = each.select(F.col("form.label").alias("label"), text.alias("text"), F.lit("src").alias("source"))
-    found = candidates(rows, "label", "text", "source", options)
+    text = F.concat(F.lit("set here "), F.col("form.a"), "value", F.col("form.b"))
+    found = candidates(rows.select(F.col("form.label").alias("label"), text.alias("text"), F.lit("src").alias("source")), "label", "text", "source", options)
     return found.withColumnRenamed("id", "label").select("candidate", "before", "after", "path", "label")
