@@ -87,7 +87,8 @@ def iban_end(text: str, start: int, end: int) -> int | None:
     length, ends = IBAN_LENGTH.get(text[start : start + 2]), [end]
     if length:
         places = [at for at in range(start, end) if text[at] != " "]
-        ends = [places[length - 1] + 1] * (len(places) >= length) + ends
+        if len(places) >= length:
+            ends.insert(0, places[length - 1] + 1)
     for at in ends:
         whole = at == len(text) or not (text[at].isascii() and text[at].isalnum())
         if whole and 15 <= len(text[start:at].replace(" ", "")) <= 34 and mod_97(text[start:at]):
@@ -121,6 +122,36 @@ _RULES = (
 )
 _DIGIT = re.compile("[0-9]")
 
+# What the patterns of email and ip are made of. A search with the whole pattern would try every character of a long run of
+# digits or letters as a start; these find the same places and read each run once.
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
+
+
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Places of `EMAIL`: back from each @ as far as its first part goes, and on as far as the domain does."""
+    at, after = text.find("@"), 0
+    while at >= 0:
+        before = text[after:at]
+        start = after + len(before.rstrip(_LOCAL))
+        after = at + 1
+        if start < at and (domain := _DOMAIN.match(text, at + 1)):
+            yield start, domain.end()
+            after = domain.end()
+        at = text.find("@", after)
+
+
+def _ips(text: str) -> Iterator[tuple[int, int]]:
+    """Places of `IP`: every four neighbours of a run of numbers with dots between them, from its beginning."""
+    for run in _DOTTED.finditer(text):
+        if "." in run.group():
+            parts, at = run.group().split("."), run.start()
+            for i in range(0, len(parts) - 3, 4):
+                end = at + sum(map(len, parts[i : i + 4])) + 3
+                yield at, end
+                at = end + 1
+
 
 def _score(text: str, kind: str, start: int, end: int, checked: bool, options: PiiOptions) -> float:
     around = text[max(0, start - options.context_chars) : start] + " " + text[end : end + options.context_chars]
@@ -141,7 +172,8 @@ def find_pii(text: str | None, options: PiiOptions = PiiOptions()) -> list[tuple
     for kind, pattern, needs, valid, checked in _RULES:
         if not text or needs not in text or not (has_digit or kind == "email"):
             continue
-        for start, end in _ibans(text) if kind == "iban" else (m.span() for m in pattern.finditer(text)):
+        own = _SEARCH.get(kind)
+        for start, end in own(text) if own else (m.span() for m in pattern.finditer(text)):
             if valid is None or valid(text[start:end]):
                 score = _score(text, kind, start, end, checked, options)
                 if kind in BASE or score >= options.min_score:
@@ -163,6 +195,10 @@ def _ibans(text: str) -> Iterator[tuple[int, int]]:
             at = end
 
 
+#: Kinds that are not searched by their pattern alone.
+_SEARCH = {"email": _emails, "ip": _ips, "iban": _ibans}
+
+
 def pii_spans(text: Column, options: PiiOptions = PiiOptions()) -> Column:
     """ARRAY of STRUCT(kind, start, end, score) of a text column; empty for NULL."""
 
@@ -204,7 +240,10 @@ def mask_text(text: str | None, options: PiiOptions = PiiOptions()) -> str | Non
 
 
 def masked(docs: DataFrame, text: str = "text", options: PiiOptions = PiiOptions()) -> DataFrame:
-    """`docs` with all its columns and rows, personal data in `text` masked."""
+    """`docs` with all its columns and rows, personal data in `text` masked.
+
+    NULL and empty texts stay as they are, repeated rows stay repeated, an empty table gives an empty result.
+    """
 
     @F.pandas_udf("string")
     def mask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -108,8 +108,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(F.size(F.filter("spans", pii.is_kind(kind))).cast("long").alias(f"n_{kind}") for kind in pii.BASE),
         F.sha2(pii.span_digest(F.col("spans"), pii.BASE), 256).alias("base_sha256"),
         pii.span_digest(F.col("spans"), pii.KINDS).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
     )
 
+
 #: The vocabulary that op8 and the pipeline use: a file on the driver, which sends its pieces to the executors.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 

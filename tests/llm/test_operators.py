@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -222,6 +223,23 @@ def test_pii_digest_of_the_query(spark):
         assert row["n_email"] + row["n_ip"] + row["n_card"] + row["n_phone"] == len(spans)
 
 
+def test_pii_places_are_those_of_the_patterns():
+    rng = random.Random(8)
+    for letters in ("a1.@", "12.", "a.@-+ 1", "1.2 @x", "0.a@%"):
+        for _ in range(4000):
+            text = "".join(rng.choices(letters, k=rng.randrange(40)))
+            assert list(pii._emails(text)) == [m.span() for m in pii.EMAIL.finditer(text)], text
+            assert list(pii._ips(text)) == [m.span() for m in pii.IP.finditer(text)], text
+
+
+@pytest.mark.parametrize("run", ["7", "x", "a@", "1.", "A1", "+1", "1 ", "1-", "x.", "@", ".", "(", "DE12 ", "1234 5678 "])
+def test_pii_reads_long_runs_once(run):
+    for text in (run * (1_000_000 // len(run)), run * (1_000_000 // len(run)) + ".1 @ mail a@b.co +"):
+        started = time.process_time()
+        pii.find_pii(text)
+        assert time.process_time() - started < 15  # by the square it would be hours
+
+
 def test_pii_checks_and_context():
     found = {k for k, *_ in pii.find_pii("iban DE89370400440532013000 ssn 078-05-1120")}
     assert found == {"iban", "ssn"}
