@@ -2,24 +2,26 @@
 
 A round picks URLs, checks robots rules, takes the pages out of the corpus (the join that
 stands for fetching), parses them, and feeds the new links back. All state is Parquet in one
-folder, one sub-folder per round, so a run survives lost executors and resumes where it was.
+folder that rounds only add to (see `state`), so a run survives lost executors and resumes where it was.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lingmill.functions import urls
+from lingmill.operators import fetch, language, robots
 from lingmill.operators import frontier as fr
-from lingmill.operators import language, robots
 from lingmill.operators.language import LanguageModel
 from lingmill.plans import parse
-from lingmill.sources import schemas, writers
+from lingmill.plans.state import CrawlState
+from lingmill.sources import writers
+from lingmill.sources.page_store import PageStore
 from lingmill.sources.shared import materialize, run_folder
 
 
@@ -34,104 +36,67 @@ class CrawlOptions:
     user_agent: str = "lingmill/1.0"
     robots_check: bool = True
     seed: int = 0
-
-
-class CrawlState:
-    """Where the tables of a crawl are.
-
-    `frontier/round=N` is the frontier after round N. Seen URLs are only ever added, one
-    small folder per round, so a round never rewrites what earlier rounds did.
-    """
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
-        self.folder = folder
-
-    @property
-    def segments(self) -> str:
-        """Folder of the segment text of all rounds, which the dataset job reads."""
-        return f"{self.folder}/segments"
-
-    def path(self, table: str, round_no: int) -> str:
-        return f"{self.folder}/{table}/round={round_no}"
-
-    def last_round(self) -> int | None:
-        """The last finished round; None if there is no state yet."""
-        try:
-            done = self.spark.read.schema("finished INT").parquet(f"{self.folder}/progress")
-            return done.agg(F.max("finished")).first()[0]
-        except AnalysisException as error:
-            # only a folder that is not there means a new crawl; anything else must not lead to overwriting one
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-
-    def frontier(self, round_no: int) -> DataFrame:
-        return self.spark.read.schema(schemas.FRONTIER).parquet(self.path("frontier", round_no))
-
-    def seen(self, round_no: int) -> DataFrame:
-        # rounds after `round_no` belong to a run that did not finish
-        seen = self.spark.read.schema("url STRING, round INT").parquet(f"{self.folder}/seen")
-        return seen.filter(F.col("round") <= round_no).select("url")
-
-    def batch(self, round_no: int) -> DataFrame:
-        return self.spark.read.schema("batch_pos BIGINT, url STRING, host STRING").parquet(
-            self.path("batch", round_no)
-        )
-
-    def pages(self, round_no: int) -> DataFrame:
-        return self.spark.read.schema("url STRING, html STRING, status INT, can_fetch BOOLEAN, batch_pos BIGINT").parquet(
-            self.path("pages", round_no)
-        )
-
-    def parsed(self, round_no: int) -> DataFrame:
-        return self.spark.read.schema(schemas.PARSED_PAGE).parquet(self.path("parsed", round_no))
-
-    def write(self, df: DataFrame, table: str, round_no: int) -> None:
-        df.write.mode("overwrite").parquet(self.path(table, round_no))
-
-    def finish(self, round_no: int) -> None:
-        """The last write of a round; what is not marked here is done again."""
-        done = self.spark.range(1).select(F.lit(round_no).alias("finished"))
-        done.write.mode("overwrite").parquet(self.path("progress", round_no))
-
-
-def start(state: CrawlState, seeds: DataFrame, seed: int = 0) -> None:
-    """State of round 0: the seeds in pseudo-random order, nothing seen."""
-    state.write(fr.frontier_shuffle(seeds, 0, seed), "frontier", 0)
-    state.write(state.spark.createDataFrame([], schemas.SEEN), "seen", 0)
-    state.finish(0)
+    #: The time of the first round, and how much later each further one is; robots documents age by it.
+    started: datetime = datetime(2020, 1, 1)
+    round_time: timedelta = timedelta(hours=1)
+    robots_ttl: str = "24 hours"
+    #: Rounds whose added URLs are merged into one sorted run.
+    merge_every: int = 8
+    start_fresh: bool = False
+
+
+def _found(corpus: DataFrame | PageStore, wanted: DataFrame) -> DataFrame:
+    """(url, html, status) of the wanted URLs that the corpus has, each once; html only for accepted content types."""
+    if isinstance(corpus, PageStore):
+        found = corpus.lookup(wanted)
+    else:
+        # an inner join with the small batch filters the corpus in its scan
+        found = corpus.join(wanted.select("url"), "url", "left_semi")
+    if "headers" in found.columns:
+        found = fetch.normalize_headers(found)
+        found = found.withColumn("html", F.when(fetch.content_kind(F.col("headers")) == "html", F.col("html")))
+    found = found.select("url", "html", F.col("status").cast("int").alias("status"))
+    # a URL that the corpus has several times is one page
+    first = F.min(F.struct("status", "html")).alias("_first")
+    return found.groupBy("url").agg(first).select("url", "_first.html", "_first.status")
 
 
 def crawl_round(
     state: CrawlState,
     round_no: int,
-    corpus: DataFrame,
+    corpus: DataFrame | PageStore,
     docs: DataFrame,
     model: LanguageModel,
     options: CrawlOptions,
 ) -> bool:
     """Run round `round_no` on the state of the round before; False if the frontier was empty.
 
-    `corpus` is (url, html, status), unique by url: a URL that it lacks counts as failed (status -1).
+    `corpus` is (url, html, status), and `headers` where there are any, or a store of such pages, of which only the
+    buckets of the batch are read. A URL that it lacks counts as failed (status -1); of a repeated one the row with
+    the least status and html counts. `docs` are validated robots documents; with `fetched_at` they are
+    versions, and those that are known by the round's time and no older than `robots_ttl` count.
     """
-    frontier, seen = state.frontier(round_no - 1), state.seen(round_no - 1)
-    if frontier.isEmpty():
-        return False
     n = options.round_size
-    state.write(fr.frontier_batch(frontier, n, options.lookahead), "batch", round_no)
+    looked, cursor = state.look(round_no, n * options.lookahead)
+    if looked.isEmpty():
+        return False
+    state.write(fr.frontier_batch(looked, n, options.lookahead), "batch", round_no)
     batch = state.batch(round_no)
-    # the seen set is scanned against the batch, which is bounded by n
-    unseen = materialize(fr.frontier_unseen(batch, seen))
     # only the documents of the batch's origins are taken apart
-    origins = unseen.select(urls.origin(F.col("url")).alias("origin")).distinct()
+    origins = batch.select(urls.origin(F.col("url")).alias("origin")).distinct()
     docs = docs.join(origins, "origin", "left_semi")
-    decided = robots.robots_decide(unseen, docs, options.user_agent, options.robots_check)
+    if "fetched_at" in docs.columns:
+        now = options.started + (round_no - 1) * options.round_time
+        docs = robots.robots_cache_valid(docs.filter(F.col("fetched_at") <= F.lit(now)), now, options.robots_ttl)
+    else:
+        # an origin that is there several times is one document
+        docs = docs.groupBy("origin").agg(F.min("content").alias("content"))
+    if options.robots_check:
+        state.write(robots.robots_missing(batch, docs), "robots_missing", round_no)
+    decided = robots.robots_decide(batch, docs, options.user_agent, options.robots_check)
     # stored, so that the planner knows its size when it picks the join with the corpus
     decided = materialize(decided.select("url", "can_fetch", "batch_pos"))
-    # an inner join with the small batch filters the corpus in its scan; what the corpus
-    # lacks is added after, so that no side is shuffled
-    found = corpus.join(decided.filter("can_fetch"), "url").select("url", "html", F.col("status").cast("int"))
+    found = _found(corpus, decided.filter("can_fetch"))
     fetched = decided.select("url", "can_fetch", "batch_pos").join(found, "url", "left").select(
         "url",
         F.when(F.coalesce("status", F.lit(-1)).between(200, 299), F.col("html")).alias("html"),
@@ -154,32 +119,29 @@ def crawl_round(
     segments = parse.segment_rows(parsed)
     writers.write_segments(segments.withColumn("round", F.lit(round_no)), state.segments)
     state.write(language.domain_language_counter(segments), "domain_languages", round_no)
-
-    # everything picked leaves the frontier: done, forbidden, or seen before
-    state.write(pages.select("url"), "seen", round_no)
-    waiting = fr.without_urls(frontier, batch)
-    known = state.seen(round_no).unionByName(waiting.select("url"))
-    fresh = fr.drop_known(parse.link_rows(parsed), known)
-    added = fresh.select(fr.shuffled_pos(F.col("url"), round_no, options.seed).alias("pos"), "url")
-    state.write(waiting.select("pos", "url").unionByName(added), "frontier", round_no)
-    state.finish(round_no)
+    # everything picked has left the frontier: done, or forbidden
+    n_added = state.add(state.unknown(parse.link_rows(parsed), round_no - 1), round_no, options.seed)
+    state.end_round(round_no, cursor, n_added)
     return True
 
 
 def crawl_rounds(
     seeds: DataFrame,
-    corpus: DataFrame,
+    corpus: DataFrame | PageStore,
     docs: DataFrame,
     model: LanguageModel,
     options: CrawlOptions,
     folder: str | None = None,
 ) -> CrawlState:
-    """Rounds until the frontier is empty or `num_rounds` are done in all; resumes a given folder."""
+    """Rounds until the frontier is empty or `num_rounds` are done in all; resumes a given folder, or starts over in it
+    with `start_fresh`."""
     spark = seeds.sparkSession
-    state = CrawlState(spark, folder or run_folder(spark, "crawl"))
+    state = CrawlState(spark, folder or run_folder(spark, "crawl"), fan=options.merge_every)
+    if options.start_fresh:
+        state.clear()
     done = state.last_round()
     if done is None:
-        start(state, seeds, options.seed)
+        state.start(seeds, options.seed)
         done = 0
     while options.num_rounds <= 0 or done < options.num_rounds:
         if not crawl_round(state, done + 1, corpus, docs, model, options):

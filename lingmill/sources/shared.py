@@ -42,3 +42,9 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or run_folder(spark, "table")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system, if it is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
