@@ -144,7 +144,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shi
     h1, h2 = text_key(F.col("row")[text])
     rows = docs.select(F.struct("*").alias("row")).select("row", F.col("row")[id_col].alias("id"), h1.alias("h1"), h2.alias("h2"))
     # only rows that are there several times have to be brought together
-    gone = others.unionByName(several)
+    # a part of all documents goes, so the table grows with them: the same join at every size
+    gone = others.unionByName(several).hint("merge")
     once = rows.join(gone, same(rows, gone), "left_anti")
     repeated = rows.join(several, same(rows, several), "left_semi").dropDuplicates(["id", "h1", "h2"])
     return once.unionByName(repeated).select(*(F.col("row")[c].alias(c) for c in docs.columns))
