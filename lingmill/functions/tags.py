@@ -28,12 +28,12 @@ _BY_NUMBER = "".join(f"\0{k}\1{v}" for k, v in _NUMBERS.items()) + "\0"
 _OLD_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
 
 
-def _looked_up(table: str, key: Column) -> Column:
+def _looked_up(table: Column, key: Column) -> Column:
     """The value of a key in such a text, NULL if it has none."""
     mark = F.concat(F.lit("\0"), key, F.lit("\1"))
-    value = F.call_function("substring_index", F.lit(table), mark, F.lit(-1))
+    value = F.call_function("substring_index", table, mark, F.lit(-1))
     value = F.substring_index(value, "\0", 1)
-    return F.when(F.contains(F.lit(table), mark), value)
+    return F.when(F.contains(table, mark), value)
 
 
 def visible_markup(html: Column) -> Column:
@@ -57,15 +57,20 @@ def _attr_values(tag: Column, name: str) -> Column:
     return F.transform(F.filter(pairs, lambda p: p["n"] == name), lambda p: p["v"])
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Decoded value of an attribute, NULL if the tag has none; the last of several wins."""
+def raw_attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute as it is written, without quotes; NULL if the tag has none; the last of several wins."""
     raw = F.try_element_at(_attr_values(tag, name), F.lit(-1))
-    return bind(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2"), decode_entities)
+    return F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2")
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Decoded value of an attribute, see `raw_attribute`."""
+    return bind(raw_attribute(tag, name), decode_entities)
 
 
-def _character(number: Column) -> Column:
+def _character(number: Column, by_number: Column) -> Column:
     """The character with this number (BIGINT), as HTML reads it: replaced if it cannot be one, none if it is no text."""
-    replaced = _looked_up(_BY_NUMBER, number.cast("string"))
+    replaced = _looked_up(by_number, number.cast("string"))
     wrong = number.isNull() | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
     silent = (
         number.between(1, 8) | number.between(0xE, 0x1F) | number.between(0x7F, 0x9F) | number.between(0xFDD0, 0xFDEF)
@@ -75,7 +80,7 @@ def _character(number: Column) -> Column:
     return F.when(wrong, "\ufffd").when(replaced.isNotNull(), replaced).when(silent, "").otherwise(own)
 
 
-def _decoded(reference: Column) -> Column:
+def _decoded(reference: Column, tables: Column) -> Column:
     digits = F.regexp_extract(reference, "([0-9a-fA-F]+);?$", 1)
     # more digits than a character can have: no character, however long the number
     short = F.regexp_replace(digits, "^0+(?=.)", "")
@@ -85,10 +90,10 @@ def _decoded(reference: Column) -> Column:
     name = F.substring(reference, 2, 40)
     # without a semicolon, the longest of the old names that the text begins with
     start = F.regexp_extract(name, f"^({_OLD_NAMES})", 1)
-    return F.when(F.startswith(reference, F.lit("&#")), _character(number)).otherwise(
+    return F.when(F.startswith(reference, F.lit("&#")), _character(number, tables["by_number"])).otherwise(
         F.coalesce(
-            _looked_up(_BY_NAME, name),
-            F.concat(_looked_up(_BY_NAME, start), F.substring(reference, F.length(start) + 2, F.lit(40))),
+            _looked_up(tables["by_name"], name),
+            F.concat(_looked_up(tables["by_name"], start), F.substring(reference, F.length(start) + 2, F.lit(40))),
             reference,
         )
     )
@@ -99,15 +104,30 @@ def decode_entities(text: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
     # the same expression parts the text, so there is one part more than there are references
     between = F.split(text, _REFERENCE)
-    pieces = F.transform(found, lambda r, i: F.concat(F.get(between, i), _decoded(r)))
+    # the tables are named once, so that the plan holds each of them once
+    tables = F.struct(F.lit(_BY_NAME).alias("by_name"), F.lit(_BY_NUMBER).alias("by_number"))
+    pieces = bind(tables, lambda t: F.transform(found, lambda r, i: F.concat(F.get(between, i), _decoded(r, t))))
     whole = F.concat(F.array_join(pieces, ""), F.element_at(between, -1))
     return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
 
 
+def base_and_hrefs(html: Column) -> Column:
+    """STRUCT(base, hrefs): what `base_href` and `hrefs` give. The markup is cut out and references are decoded once for both."""
+
+    def read(markup: Column) -> Column:
+        written = F.filter(F.transform(tags(markup, "a"), lambda t: raw_attribute(t, "href")), lambda v: v.isNotNull())
+        bases = F.filter(F.transform(tags(markup, "base"), lambda t: raw_attribute(t, "href")), lambda v: v.isNotNull())
+        # most pages have no <base>: a plain test saves them the regular expressions
+        base = F.when(F.rlike(html, F.lit("(?i)<base")), F.try_element_at(bases, F.lit(1)))
+        values = F.transform(F.concat(F.array(base), written), decode_entities)
+        return bind(values, lambda v: F.struct(F.get(v, F.lit(0)).alias("base"), F.slice(v, 2, F.size(v)).alias("hrefs")))
+
+    return bind(visible_markup(html), read)
+
+
 def hrefs(html: Column) -> Column:
     """ARRAY of the href values of all `<a href>`, in document order, copies kept."""
-    values = F.transform(tags(visible_markup(html), "a"), lambda t: attribute(t, "href"))
-    return F.filter(values, lambda v: v.isNotNull())
+    return base_and_hrefs(html)["hrefs"]
 
 
 def base_href(html: Column) -> Column:

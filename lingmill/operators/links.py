@@ -25,19 +25,23 @@ def is_internal(page_url: Column, url: Column) -> Column:
     return urls.netloc(page_url) == urls.netloc(url)
 
 
+def _resolved_base(page_url: Column, href: Column) -> Column:
+    return F.when(href.isNotNull(), urls.resolve(page_url, href)).otherwise(page_url)
+
+
 def base_url(page_url: Column, html: Column) -> Column:
     """The page's `<base href>`, resolved, else the page URL itself."""
-    return bind(
-        tags.base_href(html),
-        lambda href: F.when(href.isNotNull(), urls.resolve(page_url, href)).otherwise(page_url),
-    )
+    return bind(tags.base_href(html), lambda href: _resolved_base(page_url, href))
 
 
 def link_array(page_url: Column, html: Column, internal_only: bool = True) -> Column:
     """ARRAY of the distinct links of one page, in document order."""
-    # a page repeats its links: copies are dropped before anything is resolved
-    usable = F.array_distinct(F.filter(tags.hrefs(html), usable_href))
-    page = F.struct(base_url(page_url, html).alias("base"), urls.netloc(page_url).alias("host"), usable.alias("hrefs"))
+
+    def page(found: Column) -> Column:
+        # a page repeats its links: copies are dropped before anything is resolved
+        usable = F.array_distinct(F.filter(found["hrefs"], usable_href))
+        base = _resolved_base(page_url, found["base"])
+        return F.struct(base.alias("base"), urls.netloc(page_url).alias("host"), usable.alias("hrefs"))
 
     def links(p: Column) -> Column:
         keep = F.filter(
@@ -46,7 +50,7 @@ def link_array(page_url: Column, html: Column, internal_only: bool = True) -> Co
         )
         return F.filter(keep, lambda u: urls.netloc(u) == p["host"]) if internal_only else keep
 
-    return F.array_distinct(bind(page, links))
+    return F.array_distinct(bind(bind(tags.base_and_hrefs(html), page), links))
 
 
 def anchors(pages: DataFrame, *others: str) -> DataFrame:
