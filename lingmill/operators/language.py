@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from lingmill.functions import urls
 from lingmill.sources.shared import materialize
 
-# A model is broadcast only if its table is estimated below this many bytes.
+#: Languages of one row of a model, one column each.
+WIDTH = 8
 
 
 def trigrams(text: Column) -> Column:
@@ -52,7 +53,8 @@ def lid_scores(counts: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Gains over the score of an unseen trigram: one row per trigram, one column per language."""
+    """Gains over the score of an unseen trigram, `WIDTH` languages in a row: (trigram, block, g0, g1, ...). A block of which
+    no language has the trigram has no row, so the table grows with what the languages have, not with their number."""
 
     languages: tuple[str, ...]
     unseen: tuple[int, ...]
@@ -62,8 +64,15 @@ class LanguageModel:
     @property
     def fallback(self) -> str:
         """Label of a line of which the model knows no trigram."""
-        best = max(self.unseen)
-        return next(label for label, u in zip(self.languages, self.unseen) if u == best)
+        return self.languages[self._best_unseen] if self.languages else ""
+
+    @property
+    def _best_unseen(self) -> int:
+        return max(range(len(self.unseen)), key=lambda i: (self.unseen[i], -i))
+
+    @property
+    def width(self) -> int:
+        return min(WIDTH, len(self.languages))
 
     def lookup(self) -> DataFrame:
         """The gains. They are a stored table: the planner knows their size and picks the join."""
@@ -71,59 +80,64 @@ class LanguageModel:
 
 
 def lid_train(lines: DataFrame, text_col: str, label_col: str) -> LanguageModel:
-    """Fit a model on labelled lines. Runs jobs; the driver holds one number per language."""
-    counts = materialize(trigram_counts(lines, text_col, label_col))
-    per_language = counts.groupBy("language").agg(F.sum("n").alias("total")).collect()
-    totals = {row["language"]: row["total"] for row in per_language}
-    vocabulary = counts.agg(F.countDistinct("trigram")).first()[0]
-    languages = sorted(totals)
+    """Fit a model on labelled lines, for any number of languages; lines without a label teach nothing.
+
+    Runs jobs; the driver holds one number per language.
+    """
+    counts = materialize(trigram_counts(lines.filter(F.col(label_col).isNotNull()), text_col, label_col))
     spark = lines.sparkSession
-    unseen_rows = (
-        spark.createDataFrame([(k, int(v)) for k, v in totals.items()], "language string, total bigint")
-        .select("language", "total", _micro_log(F.lit(1), F.col("total") + F.lit(vocabulary)).alias("unseen"))
-    )
-    unseen = {row["language"]: row["unseen"] for row in unseen_rows.collect()}
+    vocabulary = counts.agg(F.countDistinct("trigram")).first()[0]
+    totals = counts.groupBy("language").agg(F.sum("n").alias("total"))
+    unseen = _micro_log(F.lit(1), F.col("total") + F.lit(vocabulary)).alias("unseen")
+    rows = sorted(tuple(r) for r in totals.select("language", "total", unseen).collect())
+    ranked = [(i, *row) for i, row in enumerate(rows)]
+    known = spark.createDataFrame(ranked, "rank int, language string, total bigint, unseen bigint")
     gain = _micro_log(F.col("n") + 1, F.col("total") + F.lit(vocabulary)) - F.col("unseen")
+    place = F.pmod("rank", F.lit(WIDTH))
     wide = (
-        counts.join(unseen_rows, "language")
-        .groupBy("trigram")
-        .agg(
-            *[
-                F.sum(F.when(F.col("language") == label, gain).otherwise(0)).alias(f"g{i}")
-                for i, label in enumerate(languages)
-            ]
-        )
-    )
-    return LanguageModel(
-        tuple(languages), tuple(unseen[x] for x in languages), materialize(wide), int(vocabulary)
+        counts.join(known, "language")
+        .withColumns({"block": F.expr(f"rank div {WIDTH}").cast("int"), "gain": gain, "place": place})
+        .groupBy("trigram", "block")
+        .agg(*[F.sum(F.when(F.col("place") == j, F.col("gain")).otherwise(0)).alias(f"g{j}") for j in range(min(WIDTH, len(rows)))])
     )
+    return LanguageModel(tuple(r[0] for r in rows), tuple(r[2] for r in rows), materialize(wide), int(vocabulary))
 
 
 def lid_labels(lines: DataFrame, keys: Sequence[str], text_col: str, model: LanguageModel) -> DataFrame:
     """(keys, language) of the lines that share a trigram with the model; `keys` is unique.
 
-    Only keys, not texts, go through the exploded rows. With a broadcast model the sums are
-    made in the map task that holds the line, and one row per line is shuffled.
+    Only keys, not texts, go through the exploded rows. With a broadcast model the sums are made in the map task that
+    holds the line: one row per line and block of languages is shuffled. Languages that share no trigram with a line
+    need no row: the best of them is the one that is best for unseen trigrams, since gains are never negative.
     """
+    n_languages = len(model.languages)
+    if not n_languages:
+        return lines.select(*keys, F.lit("").alias("language")).limit(0)
     grams = lines.filter(F.length(text_col) > 0).select(
         *keys,
         F.length(text_col).cast("bigint").alias("_n"),
         F.explode(trigrams(F.col(text_col))).alias("trigram"),
     )
-    sums = (
-        grams.join(model.lookup(), "trigram")
-        .groupBy(*keys, "_n")
-        .agg(*[F.sum(f"g{i}").alias(f"g{i}") for i in range(len(model.languages))])
-    )
-    ranked = [
-        F.struct(
-            (F.col(f"g{i}") + F.col("_n") * F.lit(unseen)).alias("score"),
-            F.lit(-i).alias("rank"),
-            F.lit(label).alias("label"),
-        )
-        for i, (label, unseen) in enumerate(zip(model.languages, model.unseen))
-    ]
-    return sums.select(*keys, F.array_max(F.array(*ranked))["label"].alias("language"))
+    one_block = n_languages <= WIDTH
+    block = [] if one_block else ["block"]
+    gains = model.lookup().drop("block") if one_block else model.lookup()
+    sums = grams.join(gains, "trigram").groupBy(*keys, "_n", *block).agg(*[F.sum(f"g{j}").alias(f"g{j}") for j in range(model.width)])
+    unseen, labels = F.lit(list(model.unseen)), F.lit(list(model.languages))
+
+    def score(j: int) -> Column:
+        if one_block:
+            return F.struct((F.col(f"g{j}") + F.col("_n") * F.lit(model.unseen[j])).alias("score"), F.lit(-j).alias("rank"))
+        rank = F.col("block") * WIDTH + j
+        own = F.struct((F.col(f"g{j}") + F.col("_n") * F.get(unseen, rank)).alias("score"), (-rank).alias("rank"))
+        return F.when(rank < n_languages, own)  # the last block may be short
+
+    best = F.array_max(F.array(*[score(j) for j in range(model.width)]))
+    if one_block:
+        return sums.select(*keys, F.get(labels, -best["rank"]).alias("language"))
+    at = model._best_unseen
+    other = F.struct((F.first("_n") * F.lit(model.unseen[at])).alias("score"), F.lit(-at).alias("rank"))
+    whole = sums.withColumn("_best", best).groupBy(*keys).agg(F.greatest(F.max("_best"), other).alias("_best"))
+    return whole.select(*keys, F.get(labels, -F.col("_best.rank")).alias("language"))
 
 
 def lid_predict(lines: DataFrame, keys: Sequence[str], text_col: str, model: LanguageModel) -> DataFrame:

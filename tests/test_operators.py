@@ -1,5 +1,6 @@
 """Operators on small rows, against brute force in plain Python."""
 
+import math
 import random
 from collections import Counter, defaultdict
 from datetime import datetime
@@ -284,3 +285,30 @@ def test_report(spark):
         "language: a\nscript: Latn\nwords: 4\ncharacters: 5\nsentences: 6\n-----\n"
         "language: b\nscript: Latn\nwords: 1\ncharacters: 2\nsentences: 3"
     )
+
+
+@pytest.mark.parametrize("n_languages", [3, 8, 9, 3000])
+def test_language_model_of_many_labels(spark, n_languages):
+    rng = random.Random(n_languages)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{i:04d}": rng.sample(letters, 5) for i in range(n_languages)}
+    say = lambda label: "".join(rng.choices(own[label], k=12))
+    taught = [(label, say(label)) for label in own for _ in range(3)] + [(None, "nothing is known")]
+    asked = [(i, say(rng.choice(list(own)))) for i in range(60)] + [(60, "ÄÖÜ"), (61, ""), (62, None)]
+    model = language.lid_train(spark.createDataFrame(taught, "label string, line string"), "line", "label")
+    lines = spark.createDataFrame(asked, "id int, line string")
+    got = {r["id"]: r["language"] for r in language.lid_predict(lines, ["id"], "line", model).collect()}
+
+    grams = lambda s: [f" {s.lower()} "[k : k + 3] for k in range(len(s))]
+    counts = {}
+    for label, line in taught[:-1]:
+        for g in grams(line):
+            counts.setdefault(label, Counter())[g] += 1
+    v = len({g for c in counts.values() for g in c})
+    log = lambda n, c: round(math.log(n / (sum(c.values()) + v)) * 1000000)
+    for i, line in asked:
+        scores = {label: sum(log(c[g] + 1, c) for g in grams(line or "")) for label, c in counts.items()}
+        known = [g for g in grams(line or "") if any(g in c for c in counts.values())]
+        best = max(scores.values()) if known else None
+        want = sorted(label for label, s in scores.items() if s == best) if known else [model.fallback]
+        assert got[i] in want and (got[i] == want[0] or len(want) > 1)
