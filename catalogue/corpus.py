@@ -8,6 +8,7 @@ from catalogue import inputs as src
 from catalogue.registry import part, query
 from lingmill.operators import dataset as ds
 from lingmill.operators import samples as sm
+from lingmill.plans import dataset
 from lingmill.plans.dataset import write_corpus
 from lingmill.sources import readers
 from lingmill.sources.shared import run_folder
@@ -58,7 +59,26 @@ def dataset_build(spark, sf):
 def dataset_rowcount(spark, sf):
     folder = run_folder(spark, "dataset")
     write_corpus(_corpus(spark, sf), folder)
-    return readers.dataset(spark, f"{folder}/dataset").agg(F.count(F.lit(1)).alias("n"))
+    return readers.parquet_rows(spark, f"{folder}/dataset")
+
+
+def _merged(spark, sf):
+    """Three rounds that share lines: a half of all lines, a third, and all of them."""
+    rows, folder = src.corpus_rows(spark, sf), run_folder(spark, "merged")
+    part = F.xxhash64("text", "language")
+    for n, segments in enumerate((rows.filter(part % 2 == 0), rows.filter(part % 3 == 0), rows), 1):
+        dataset.merge_round(spark, segments, folder, n, bits=4)
+    return folder
+
+
+@query("SELECT text, language, script FROM x_dataset")
+def dataset_merge(spark, sf):
+    return dataset.merged_corpus(spark, _merged(spark, sf))
+
+
+@query("SELECT language, script, words, characters, sentences FROM x_stats")
+def dataset_merge_stats(spark, sf):
+    return dataset.merged_stats(spark, _merged(spark, sf))
 
 
 @query("SELECT text, language, script FROM x_dataset WHERE language || '_' || script IN ('deu_Latn', 'fra_Latn')")

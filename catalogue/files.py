@@ -28,6 +28,29 @@ def src_pages(spark, sf):
     )
 
 
+@query(
+    """
+SELECT CASE WHEN page_id % 7 = 3 THEN 'broken line' WHEN page_id % 7 = 5 THEN 'no url' WHEN r.error IS NOT NULL THEN 'fetch failed'
+  WHEN r.status IS NULL THEN 'no status' WHEN r.status NOT BETWEEN 200 AND 300 THEN 'status not accepted'
+  WHEN coalesce(r.html, '') = '' THEN 'no html' ELSE 'none' END AS problem, count(*) AS n
+FROM pages JOIN x_raw r USING (url) GROUP BY 1
+"""
+)
+def page_problems(spark, sf):
+    """Lines of which one in seven is cut off and one has no URL; those with a problem are set aside and read back."""
+    folder = run_folder(spark, "lines")
+    ids = src.table(spark, sf, "pages").select("page_id", "url")
+    raw = src.raw_pages(spark, sf).join(ids, "url").withColumn("url", F.when(F.col("page_id") % 7 != 5, F.col("url")))
+    line = F.to_json(F.struct("url", "status", "headers", "html", "error"))
+    cut = F.when(F.col("page_id") % 7 == 3, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    raw.select(cut.alias("value")).write.text(f"{folder}/raw")
+    checked = readers.checked_pages(spark, f"{folder}/raw")
+    writers.write_set_aside(checked, f"{folder}/aside")
+    aside = spark.read.schema("url STRING, problem STRING").json(f"{folder}/aside")
+    good = checked.filter("problem is null")
+    return readers.problem_counts(aside.select("problem").unionByName(good.select("problem")))
+
+
 @query("SELECT url FROM pages")
 def seed_urls(spark, sf):
     folder = run_folder(spark, "seeds")

@@ -95,6 +95,30 @@ def robots_decide(spark, sf):
     return rb.robots_decide(src.pages(spark, sf).select("url"), valid_docs(spark, sf), AGENT)
 
 
+@query("SELECT url, can_fetch, reason FROM x_decide")
+def robots_decide_by_prefix(spark, sf):
+    return rb.robots_decide_by_prefix(src.pages(spark, sf).select("url"), valid_docs(spark, sf), AGENT)
+
+
+@query(
+    """
+SELECT url, strftime(f.ts, '%Y-%m-%d %H:%M:%S.%f') AS fetch_time,
+  CASE WHEN d.ts > f.ts - INTERVAL 24 HOUR THEN strftime(d.ts, '%Y-%m-%d %H:%M:%S.%f') END AS doc_time
+FROM (SELECT event_id, ts, user_id % 50 AS u, 'https://u' || (user_id % 50) || '.example.org/' || event_id AS url FROM events WHERE event_type <> 'error') f
+ASOF LEFT JOIN (SELECT DISTINCT user_id % 50 AS u, ts FROM events WHERE event_type = 'error') d ON f.u = d.u AND f.ts >= d.ts
+"""
+)
+def robots_as_of(spark, sf):
+    """Errors stand for fetched robots documents, all other events for fetches of pages on 50 hosts."""
+    events = src.table(spark, sf, "events")
+    origin = F.concat(F.lit("https://u"), (F.col("user_id") % 50).cast("string"), F.lit(".example.org"))
+    docs = events.filter("event_type = 'error'").select(origin.alias("origin"), F.col("ts").alias("fetched_at"))
+    page = F.concat(origin, F.lit("/"), F.col("event_id").cast("string"))
+    fetches = events.filter("event_type <> 'error'").select(page.alias("url"), F.col("ts").alias("fetch_time"))
+    found = rb.robots_as_of(fetches, docs)
+    return found.select("url", *(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) for c in ("fetch_time", "doc_time")))
+
+
 @query(
     """
 SELECT url, d.delay AS robots_delay, CASE WHEN d.delay IS NULL THEN 1 ELSE least(greatest(d.delay, 1), 10) END AS delay

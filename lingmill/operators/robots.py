@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lingmill.functions import tags, urls
 from lingmill.functions import text as tx
+from lingmill.sources.shared import materialize
 
 # Robots.txt keys that make up a group.
 _RULE_KEYS = ("allow", "disallow", "crawl-delay", "request-rate")
@@ -37,6 +38,30 @@ def robots_cache_valid(docs: DataFrame, now: Column | datetime, ttl: str = "24 h
     return latest.select("origin", *[f"_last.{c}" for c in rest])
 
 
+def robots_as_of(fetches: DataFrame, docs: DataFrame, time_col: str = "fetch_time", ttl_hours: int = 24) -> DataFrame:
+    """Add `doc_time`: when the document that held at the time of a fetch was itself fetched, NULL if none held.
+
+    `fetches` has `url` and `time_col`, `docs` any number of versions (origin, fetched_at). The last version up to the
+    time of the fetch holds, if it is younger than `ttl_hours`. Versions are listed by origin and day, on the days on
+    which they can hold, so the join is by equality; a list has the versions of a few days, which a cache that keeps
+    a document for `ttl_hours` has few of. No window runs over an origin, and a hot one may be split by its fetches.
+    """
+    age = F.expr(f"interval {int(ttl_hours)} hours")
+    # a day more than the age has: days can be 23 hours long
+    days = -(-int(ttl_hours) // 24) + 1
+    day = F.to_date("fetched_at")
+    listed = (
+        docs.filter(F.col("fetched_at").isNotNull())
+        .select("origin", "fetched_at", F.explode(F.sequence(day, F.date_add(day, days))).alias("_day"))
+        .groupBy("origin", "_day")
+        .agg(F.collect_set("fetched_at").alias("_times"))
+    )
+    timed = fetches.withColumns({"_origin": urls.origin(F.col("url")), "_on": F.to_date(time_col)})
+    joined = timed.join(listed, (timed["_origin"] == listed["origin"]) & (timed["_on"] == listed["_day"]), "left")
+    holds = F.filter("_times", lambda t: (t <= F.col(time_col)) & (t > F.col(time_col) - age))
+    return joined.select(*(timed[c] for c in fetches.columns), F.array_max(holds).alias("doc_time"))
+
+
 def robots_missing(urls_df: DataFrame, docs: DataFrame) -> DataFrame:
     """(origin, robots_url): origins of the URLs that have no document yet."""
     wanted = urls_df.select(urls.origin(F.col("url")).alias("origin")).distinct()
@@ -150,15 +175,48 @@ def robots_decide(urls_df: DataFrame, docs: DataFrame, user_agent: str, enabled:
     joined = urls_df.withColumns({"origin": urls.origin(F.col("url")), "_path": path}).join(
         table, "origin", "left"
     )
-    return joined.withColumn("_hit", hit).select(
-        *urls_df.columns,
-        F.coalesce(F.col("_hit.allow"), F.lit(True)).alias("can_fetch"),
+    return joined.withColumn("_hit", hit).select(*urls_df.columns, *_decision())
+
+
+def _decision() -> tuple[Column, Column]:
+    """`can_fetch` and `reason` from `origin`, `has_doc` and the rule `_hit`."""
+    reason = (
         F.when(~F.coalesce("has_doc", F.lit(False)), F.concat(F.lit("no usable robots document for "), F.col("origin")))
         .when(F.col("_hit").isNull(), "no rule applies")
         .when(F.col("_hit.allow"), F.concat(F.lit("Allow: "), F.col("_hit.path")))
         .otherwise(F.concat(F.lit("Disallow: "), F.col("_hit.path")))
-        .alias("reason"),
     )
+    return F.coalesce(F.col("_hit.allow"), F.lit(True)).alias("can_fetch"), reason.alias("reason")
+
+
+def robots_decide_by_prefix(urls_df: DataFrame, docs: DataFrame, user_agent: str) -> DataFrame:
+    """The same rows as `robots_decide`, for origins with very many rules.
+
+    No row carries the rules of its origin. A URL gets only the lengths that rule paths of its origin have, its
+    beginnings of these lengths meet the rules by equality, and the least line number wins by a combining
+    aggregate. Of rules with the same path the first is kept, so a URL meets one rule per length at most.
+    """
+    rules = robots_rules(docs)
+    groups = rules.groupBy("origin", "group_no").agg(
+        F.bool_or((F.col("key") == "user-agent") & (F.col("value") == "*")).alias("star"),
+        F.bool_or((F.col("key") == "user-agent") & F.contains(F.lit(product_token(user_agent)), F.lower("value"))).alias("named"),
+    )
+    mine = groups.filter(F.col("star") | F.col("named")).groupBy("origin").agg(F.min_by("group_no", F.struct("star", "group_no")).alias("group_no"))
+    allow = ((F.col("key") == "allow") | (F.col("value") == "")).alias("allow")
+    paths = rules.filter(F.col("key").isin("allow", "disallow")).join(mine, ["origin", "group_no"])
+    paths = paths.select("origin", "line_no", allow, urls.robots_rule_path(F.col("value")).alias("path"))
+    first = paths.groupBy("origin", "path").agg(F.min(F.struct("line_no", "allow")).alias("rule"))
+    first = materialize(first)
+    lengths = first.groupBy("origin").agg(F.collect_set(F.length("path")).alias("lengths"))
+    known = docs.select("origin", F.col("content").isNotNull().alias("has_doc")).join(lengths, "origin", "left")
+
+    asked = urls_df.select("url").distinct().withColumns({"origin": urls.origin(F.col("url")), "_path": urls.robots_path(F.col("url"))})
+    asked = materialize(asked.join(known, "origin", "left"))
+    fitting = F.filter("lengths", lambda n: n <= F.length("_path"))
+    begun = asked.select("url", "origin", F.explode(F.transform(fitting, lambda n: F.substring(F.col("_path"), F.lit(1), n))).alias("path"))
+    hits = begun.join(first, ["origin", "path"]).groupBy("url").agg(F.min(F.struct("rule.line_no", "rule.allow", "path")).alias("_hit"))
+    decided = asked.join(hits, "url", "left").select("url", "origin", "has_doc", "_hit")
+    return urls_df.join(decided, "url", "left").select(*(urls_df[c] for c in urls_df.columns), *_decision())
 
 
 def crawl_delay(

@@ -20,6 +20,29 @@ def raw_pages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def checked_pages(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines of fetched pages with `line` and `problem`: nothing is dropped.
+
+    `problem` is NULL for a page that can be parsed, else the first of: broken line, no url, fetch failed, no status,
+    status not accepted, no html. `line` is the text of a broken line.
+    """
+    rows = spark.read.schema(f"{schemas.RAW_PAGE}, line STRING").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "line").json(path)
+    problem = (
+        F.when(F.col("line").isNotNull(), "broken line")
+        .when(F.coalesce("url", F.lit("")) == "", "no url")
+        .when(F.col("error").isNotNull(), "fetch failed")
+        .when(F.col("status").isNull(), "no status")
+        .when(~F.col("status").between(200, 300), "status not accepted")
+        .when(F.coalesce("html", F.lit("")) == "", "no html")
+    )
+    return rows.withColumn("problem", problem)
+
+
+def problem_counts(checked: DataFrame) -> DataFrame:
+    """(problem, n), the pages without one under `none`."""
+    return checked.groupBy(F.coalesce("problem", F.lit("none")).alias("problem")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def parsed_pages(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines of parsed pages below `<label>/parsed/`; the label comes from the path.
 
@@ -97,6 +120,18 @@ def dataset(spark: SparkSession, path: str, languages: Iterable[str] | None = No
     return df
 
 
+def parquet_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(n): the number of rows below a path, from the footers of its files; no data page is read.
+
+    Only the newer file source counts in footers. It is switched on in a session of its own, so that all other reads
+    are planned as before.
+    """
+    counting = spark.newSession()
+    counting.conf.set("spark.sql.sources.useV1SourceList", "")
+    counting.conf.set("spark.sql.parquet.aggregatePushdown", True)
+    return counting.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))
+
+
 def crawl_index(spark: SparkSession, path: str) -> DataFrame:
     """CSV extract of a crawl index, with header."""
     return spark.read.schema(schemas.INDEX_ROW).option("header", True).csv(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _by_label(df: DataFrame, *label: str) -> DataFrame:
@@ -19,6 +20,12 @@ def write_json_lines(df: DataFrame, path: str, compress: bool = True, mode: str
     df.write.mode(mode).option("compression", "gzip" if compress else "none").json(path)
 
 
+def write_set_aside(checked: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Pages with a problem, as JSON lines in one folder per problem; pages without one are not written."""
+    bad = checked.filter(F.col("problem").isNotNull())
+    _by_label(bad, "problem").write.mode(mode).partitionBy("problem").option("compression", "gzip").json(path)
+
+
 def write_segments(segments: DataFrame, path: str) -> None:
     """Segment text as one folder per (round, language), one line per segment.
 
