@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue import inputs as src
 from catalogue.language import model
-from catalogue.pages import TARGETS
+from catalogue.pages import PARSED_SEGMENTS, TARGETS
 from catalogue.registry import query
 from lingmill.operators import fetch, warc
 from lingmill.operators import links as lk
@@ -147,3 +147,24 @@ def stream_seen_urls(spark, sf):
     links = lk.page_links(rounds.raw_page_stream(spark, f"{folder}/raw"))
     rounds.stream_seen_urls(links, f"{folder}/urls", f"{folder}/checkpoint").awaitTermination()
     return spark.read.schema("url STRING").parquet(f"{folder}/urls")
+
+
+def _stream_rounds(spark, sf, table):
+    """Pages that arrive twice: as they are, and once more in a second arrival."""
+    folder = run_folder(spark, "stream")
+    raw = src.pages(spark, sf).withColumn("status", F.lit(200))
+    for _ in range(2):
+        writers.write_json_lines(raw, f"{folder}/raw", mode="append")
+        stream = rounds.raw_page_stream(spark, f"{folder}/raw")
+        rounds.stream_rounds(stream, model(spark, sf), TARGETS, folder, f"{folder}/checkpoint").awaitTermination()
+    return rounds.read_committed(spark, folder, table)
+
+
+@query(PARSED_SEGMENTS)
+def stream_round_segments(spark, sf):
+    return _stream_rounds(spark, sf, "segments").withColumn("segment_no", F.col("segment_no").cast("bigint"))
+
+
+@query("SELECT page, url FROM x_plain_links")
+def stream_round_links(spark, sf):
+    return _stream_rounds(spark, sf, "links")

@@ -9,7 +9,7 @@ from catalogue.registry import part, query
 from lingmill.functions import tags, urls
 from lingmill.operators import coverage as cv
 from lingmill.operators import seeds as sd
-from lingmill.sources import readers, schemas
+from lingmill.sources import readers, schemas, writers
 from lingmill.sources.shared import run_folder
 
 
@@ -30,6 +30,23 @@ def seed_index_filter(spark, sf):
     return sd.index_filter(src.index_rows(spark, sf), ["deu", "spa", "deu"])
 
 
+@query(
+    """
+SELECT url, content_languages || '_Latn' AS lang_script FROM x_index
+WHERE content_languages IN ('eng', 'deu', 'fra') AND row_id % 2 = 1 AND row_id % 3 = 0
+"""
+)
+def seed_index_stored(spark, sf):
+    """The index of two crawls with three subsets each, stored, then one subset of one crawl in the table's languages."""
+    folder = run_folder(spark, "index")
+    crawl = F.concat(F.lit("crawl-"), (F.col("row_id") % 2).cast("string"))
+    subset = F.element_at(F.array(*map(F.lit, ("warc", "robotstxt", "crawldiagnostics"))), (F.col("row_id") % 3 + 1).cast("int"))
+    rows = src.index_rows(spark, sf).select("url", "url_host_registered_domain", "content_languages", crawl.alias("crawl"), subset.alias("subset"))
+    writers.write_index(rows, folder)
+    index = readers.stored_index(spark, folder)
+    return sd.index_of_languages(index, _languages(spark), subset="warc", crawl="crawl-1").select("url", "lang_script")
+
+
 @query(
     """
 SELECT row_id, url, url_host_registered_domain, content_languages

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lingmill.operators.ranking import first_per_key
+from lingmill.sources.shared import materialize
 
 
 def index_filter(
@@ -22,6 +23,22 @@ def index_filter(
     return index.filter(keep)
 
 
+def index_of_languages(index: DataFrame, languages: DataFrame, subset: str | None = None, crawl: str | None = None) -> DataFrame:
+    """Index rows whose language the table has, with `lang_script`, as `with_scripts` after `index_filter`.
+
+    On an index that is stored by crawl, subset and language (`writers.write_index`) the comparisons choose folders as
+    the query is planned, and the table chooses those of its languages as it runs.
+    """
+    # stored, so that the planner sees that it is small; the condition tells it that the table chooses
+    table = materialize(_code_scripts(languages)).filter(F.length("iso6393") > 0)
+    kept = index
+    for column, value in (("subset", subset), ("crawl", crawl)):
+        kept = kept.filter(F.col(column) == value) if value is not None else kept
+    return kept.join(table, kept["content_languages"] == table["iso6393"]).select(
+        *kept.columns, F.concat_ws("_", "iso6393", "iso15924").alias("lang_script")
+    )
+
+
 def url_dedup(index: DataFrame, order: str) -> DataFrame:
     """The first row of every URL by `order`."""
     return first_per_key(index, "url", order)

@@ -137,6 +137,11 @@ def crawl_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.INDEX_ROW).option("header", True).csv(path)
 
 
+def stored_index(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """An index that `writers.write_index` wrote; `columns` are its further columns, as `name TYPE`."""
+    return spark.read.schema(", ".join([schemas.INDEX_ROW, *columns, "crawl STRING", "subset STRING"])).parquet(path)
+
+
 def language_table(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Language name, ISO 639-3 code and ISO 15924 script, one row per code and script."""
     if path is not None:

@@ -83,6 +83,18 @@ def write_dataset(df: DataFrame, path: str, max_rows: int = 500_000, mode: str =
     )
 
 
+def write_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A crawl index as Parquet, one folder per (crawl, subset, language), rows in order of the domain."""
+    keys = ("crawl", "subset", "content_languages")
+    (
+        _by_label(index, *keys)
+        .sortWithinPartitions(*keys, "url_host_registered_domain")
+        .write.mode(mode)
+        .partitionBy(*keys)
+        .parquet(path)
+    )
+
+
 def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Corpus statistics as one CSV file with header; there is one row per language."""
     stats.coalesce(1).write.mode(mode).option("header", True).csv(path)

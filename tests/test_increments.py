@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from lingmill.operators import dataset as ds
-from lingmill.operators import robots
+from lingmill.operators import robots, seeds
 from lingmill.plans import dataset
 from lingmill.sources import readers, shared, writers
 from tests.test_state import scanned_files, size
@@ -111,3 +111,16 @@ def test_rows_are_counted_in_footers(spark):
     assert "PushedAggregation: [COUNT(*)]" in plan
     # other reads are planned as before
     assert "FileScan parquet" in spark.read.parquet(folder)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_index_reads_the_folders_it_needs(spark):
+    rows = [(f"http://{c}{s}{la}.org/{i}", f"{la}.org", la, c, s) for c in "ab" for s in "xyz" for la in ("eng", "kin", "hau", None) for i in range(5)]
+    folder = shared.run_folder(spark, "index")
+    writers.write_index(spark.createDataFrame(rows, "url string, url_host_registered_domain string, content_languages string, crawl string, subset string"), folder)
+    table = spark.createDataFrame([("kinyarwanda", "kin", "Latn"), ("none", "", "Latn")], "language string, iso6393 string, iso15924 string")
+    found = seeds.index_of_languages(readers.stored_index(spark, folder), table, subset="y", crawl="b")
+    assert {(r["url"][7:12], r["lang_script"]) for r in found.collect()} == {("bykin", "kin_Latn")} and found.count() == 5
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(subset" in plan
+    # of the four folders of crawl and subset the table's one language chooses one while the query runs; its own file is the other
+    assert scanned_files(found) == 2

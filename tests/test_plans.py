@@ -176,6 +176,45 @@ def test_streams_over_two_arrivals(spark, model, tmp_path):
     assert len(seen) == len(set(seen)) == 7
 
 
+def test_stream_rounds_commit_all_outputs_together(spark, model, tmp_path, monkeypatch):
+    raw, out, checkpoint = f"{tmp_path}/raw", f"{tmp_path}/out", f"{tmp_path}/c"
+    rows = [(u, 200, None, h, None) for u, h in SITE.items()]
+
+    def arrive(part):
+        writers.write_json_lines(spark.createDataFrame(part, schemas.RAW_PAGE), raw, mode="append")
+
+    def run():
+        rounds.stream_rounds(rounds.raw_page_stream(spark, raw), model, "eng_Latn", out, checkpoint).awaitTermination()
+
+    def urls_of(table, column="url"):
+        return sorted(r[column] for r in rounds.read_committed(spark, out, table).select(column).collect())
+
+    assert all(urls_of(t) == [] for t in ("parsed", "segments", "links"))
+    arrive(rows[:3])
+    run()
+    first = urls_of("parsed")
+    assert first == sorted(u for u, *_ in rows[:3])
+    # the second batch dies between its outputs: nothing of it is there
+    arrive(rows[3:] + rows[:1])
+
+    def dies(segments):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(rounds, "domain_language_counter", dies)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert urls_of("parsed") == first and set(urls_of("links", "page")) <= set(first)
+    monkeypatch.undo()
+    run()
+    # six pages in two arrivals, one of them in both, are six rows
+    assert urls_of("parsed") == sorted(SITE)
+    parsed = rounds.read_committed(spark, out, "parsed")
+    want = sorted((r.url, r.segment_no, r.text, r.language) for r in parse.segment_rows(parsed).collect())
+    got = rounds.read_committed(spark, out, "segments").select("url", "segment_no", "text", "language").collect()
+    assert sorted(map(tuple, got)) == want != []
+    assert [tuple(r) for r in rounds.read_committed(spark, out, "domain_languages").groupBy("host").agg(F.sum("n")).collect()] == [("s.org", len(want))]
+
+
 def test_shared_folder_comes_from_the_session():
     class Session:
         """Only the settings of a session; nothing else may be asked."""
