@@ -167,11 +167,64 @@ def test_licences_in_every_place():
     scanner = licenses.Scanner(licenses.TEMPLATES, 0.8)
     for name, text in licenses.TEMPLATES.items():
         found = scanner.scan("Some words before. " + text + " And some after.")
-        assert found and (found[0][0] == name or name.startswith(found[0][0])), name
+        assert found and {f[0] for f in found} == {name.split(" ")[0]} and found[0][3] == 1.0, name
     assert scanner.scan("released under the moon with a permit") == []
     text = "İ says: Released under the MIT Licence."
     (name, start, end, score) = scanner.scan(text)[0]
     assert text[start:end] == "Released under the MIT Licence" and score == 1.0
+    text = "İ: This work is licensed under a Creative Commons Attribution-Non-Commercial-Share-Alike v4.0 International License!"
+    (name, start, end, _) = scanner.scan(text)[0]
+    assert name == "CC-BY-NC-SA-4.0" and text[start:end].startswith("This work") and text[start:end].endswith("License")
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+         "as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version.", ["LGPL-2.1-or-later"]),
+        ("it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 3 of the License, "
+         "or any later version. This program is free software; you can redistribute it and/or modify", ["GPL-3.0-or-later"]),
+        ("Licensed under the Apache License, Version 1.1.", []),
+        ("Licensed under CC BY-NC-ND 2.0.", ["CC-BY-NC-ND-2.0"]),
+        ("Licensed under CC BY-XY 4.5.", []),
+        ("This work is licensed under the GNU General Public License.", []),
+        ("Released under the BSD License.", []),
+        ("in 2004 released under the MIT License, 12 of them", ["MIT"]),
+        ("Licensed under CC BY 4.0. Licensed under CC BY-SA 3.0. Released under the MIT License.", ["CC-BY-4.0", "CC-BY-SA-3.0", "MIT"]),
+    ],
+)
+def test_licences_that_differ_in_a_word(text, want):
+    assert [f[0] for f in licenses.Scanner(licenses.TEMPLATES, 0.8).scan(text)] == want
+
+
+@pytest.mark.parametrize("limit", [0.6, 0.8, 0.95])
+def test_no_run_of_any_allowed_size_is_missed(limit):
+    rng = random.Random(11)
+    letters = ["mit", "gnu", "2", "3", "a", "b", "c", "d"]
+    for _ in range(250):
+        templates = {f"T{k}": " ".join(rng.choices(letters, k=rng.randrange(2, 12))) for k in range(3)}
+        text = [w for _ in range(3) for w in rng.choice([*templates.values(), "x y"]).split() if rng.random() < 0.9] + rng.choices(letters, k=6)
+        scanner = licenses.Scanner(templates, limit)
+        want = set()
+        for t, template in enumerate(scanner.templates):
+            m = template.size
+            for first in range(len(text) - 1):
+                best = None
+                for end in range(first + 1, len(text)):
+                    run = text[first : end + 1]
+                    grams = list(zip(run, run[1:]))
+                    if grams[0] not in template.bigrams or grams[-1] not in template.bigrams:
+                        continue
+                    held = {}
+                    for g in grams:
+                        held[g] = held.get(g, 0) + 1
+                    common = sum(min(n, template.bigrams[g]) for g, n in held.items() if g in template.bigrams)
+                    score = 2 * common / (len(grams) + m)
+                    if score >= limit and licenses.agrees(licenses.facts(run), template.facts):
+                        best = max(best or (0, 0), (score, end))
+                if best:
+                    want.add((best[0], first, best[1], t))
+        assert set(scanner.runs(text)) == want
 
 
 def best_by_hand(model, text):
