@@ -10,7 +10,7 @@ from lingmill.operators import dataset as ds
 from lingmill.operators import samples as sm
 from lingmill.plans import dataset
 from lingmill.plans.dataset import write_corpus
-from lingmill.sources import readers
+from lingmill.sources import readers, writers
 from lingmill.sources.shared import run_folder
 
 part(
@@ -49,6 +49,32 @@ def stats_report(spark, sf):
     return ds.stats_report(ds.corpus_stats(_corpus(spark, sf)))
 
 
+@query(
+    """
+SELECT string_agg('language: ' || language || chr(10) || 'script: ' || script || chr(10) || 'words: ' || words || chr(10)
+  || 'characters: ' || characters || chr(10) || 'sentences: ' || sentences, chr(10) || '-----' || chr(10) ORDER BY language, script) AS report
+FROM x_stats
+"""
+)
+def stats_report_text(spark, sf):
+    return ds.report_text(ds.stats_report(ds.corpus_stats(_corpus(spark, sf))))
+
+
+@query(
+    """
+SELECT row_number() OVER (ORDER BY language NULLS FIRST, script NULLS FIRST) - 1 AS row, language, script, words, characters, sentences FROM x_stats
+"""
+)
+def stats_csv(spark, sf):
+    """Written with its numbering and read back."""
+    folder = run_folder(spark, "stats")
+    writers.write_stats(ds.corpus_stats(_corpus(spark, sf)), folder)
+    found = spark.read.option("header", True).csv(folder)
+    return found.select(
+        F.col("_c0").cast("bigint").alias("row"), "language", "script", *(F.col(c).cast("bigint") for c in ("words", "characters", "sentences"))
+    )
+
+
 @query("SELECT language, script, words, characters, sentences FROM x_stats")
 def dataset_build(spark, sf):
     """The whole second job: write the Parquet dataset, read it back, count."""
@@ -157,6 +183,14 @@ def language_samples_with_replacement(spark, sf):
     return sm.language_samples(_sample_lines(spark, sf), replace=True)
 
 
+@query("SELECT language, sample FROM x_samples")
+def sample_files(spark, sf):
+    """Samples written as CSV and read back."""
+    folder = run_folder(spark, "samples")
+    writers.write_samples(sm.language_samples(_sample_lines(spark, sf)), folder)
+    return spark.read.schema("sample STRING, language STRING").option("header", True).option("escape", '"').csv(folder)
+
+
 @query("SELECT language, count(*) AS n FROM x_samples GROUP BY language")
 def sample_counts(spark, sf):
     return sm.sample_counts(sm.language_samples(_sample_lines(spark, sf)))

@@ -12,7 +12,7 @@ from lingmill.operators import fetch, warc
 from lingmill.operators import links as lk
 from lingmill.plans import parse
 from lingmill.sources import readers, writers
-from lingmill.sources.shared import run_folder
+from lingmill.sources.shared import materialize, run_folder
 from lingmill.streaming import rounds
 
 DATE = "2024-01-31T00:00:00Z"
@@ -93,6 +93,66 @@ def segments_from_files(spark, sf):
     return found.groupBy("text", "language", "script").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    f"""
+SELECT coalesce(CASE regexp_extract(html, '<html lang="([a-z]+)"', 1) {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in src.LABELS.items())} END, 'und_Zyyy') AS label,
+  url, coalesce(l.n, 0) AS links
+FROM pages LEFT JOIN (SELECT page AS url, count(*) AS n FROM x_plain_links GROUP BY page) l USING (url)
+"""
+)
+def parsed_folders(spark, sf):
+    """Parsed pages below `<label>/parsed/`, one folder for each label that the pages have, read back with the label of the folder."""
+    from lingmill.functions import tags
+
+    folder = run_folder(spark, "outputs")
+    label = F.coalesce(src.corpus_label(tags.html_lang(F.col("html"))), F.lit("und_Zyyy"))
+    parsed = materialize(src.pages(spark, sf).select("url", label.alias("label"), lk.link_array(F.col("url"), F.col("html")).alias("parsed_urls")))
+    for row in parsed.select("label").distinct().collect():
+        writers.write_json_lines(parsed.filter(F.col("label") == row["label"]).drop("label"), f"{folder}/{row['label']}/parsed")
+    found = readers.parsed_pages(spark, folder)
+    return found.select("label", "url", F.coalesce(F.size("parsed_urls"), F.lit(0)).cast("bigint").alias("links"))
+
+
+@query(
+    """
+SELECT text, coalesce(language, 'und') AS language, coalesce(script, 'Zyyy') AS script, count(*) AS n FROM x_corpus GROUP BY ALL
+"""
+)
+def segment_folders(spark, sf):
+    """Text below `<language>_<script>/textual_outputs/`, one folder for each label there is, labels read from the folders."""
+    folder = run_folder(spark, "text")
+    rows = src.corpus_rows(spark, sf)
+    label = F.concat_ws("_", F.coalesce("language", F.lit("und")), F.coalesce("script", F.lit("Zyyy")))
+    rows = materialize(rows.select("text", label.alias("label")))
+    for row in rows.select("label").distinct().collect():
+        rows.filter(F.col("label") == row["label"]).select("text").write.text(f"{folder}/{row['label']}/textual_outputs")
+    found = readers.segment_files(spark, folder)
+    return found.groupBy("text", "language", "script").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT line AS text, doc_id % 3 AS round, {src.SQL_LABEL} AS label, count(*) AS n FROM x_lines GROUP BY ALL")
+def round_segment_files(spark, sf):
+    """Lines as the text of three rounds, the first of them written twice."""
+    folder = run_folder(spark, "segments")
+    rows = src.doc_lines(spark, sf).select(
+        (F.col("doc_id") % 3).cast("int").alias("round"), src.corpus_label(F.col("lang")).alias("language"), F.col("line").alias("text")
+    )
+    writers.write_segments(rows, folder)
+    writers.write_segments(rows.filter("round = 0"), folder)
+    found = readers.round_segments(spark, folder)
+    return found.groupBy("text", F.col("round").cast("bigint").alias("round"), "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT lang AS iso6393, min(source) AS language, 'Latn' AS iso15924 FROM documents GROUP BY lang")
+def language_table(spark, sf):
+    """A language table with several names for a code, as CSV; each code and script is there once."""
+    folder = run_folder(spark, "languages")
+    docs = src.table(spark, sf, "documents")
+    names = docs.select(F.col("source").alias("language"), F.col("lang").alias("iso6393"), F.lit("Latn").alias("iso15924"))
+    names.distinct().write.option("header", True).csv(folder)
+    return readers.language_table(spark, folder)
+
+
 _RECORD = r"""
 SELECT url AS target_uri, 'WARC/1.0' || e || 'WARC-Type: response' || e || 'WARC-Record-ID: <urn:uuid:' || substr(h, 1, 8) || '-' || substr(h, 9, 4)
   || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) || '>' || e || 'WARC-Target-URI: ' || url || e

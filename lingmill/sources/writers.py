@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -96,8 +96,13 @@ def write_index(index: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Corpus statistics as one CSV file with header; there is one row per language."""
-    stats.coalesce(1).write.mode(mode).option("header", True).csv(path)
+    """Corpus statistics as one CSV file with header and a nameless first column that numbers the rows by language and script.
+
+    There is one row per language, so one task writes them in order.
+    """
+    by = Window.orderBy("language", "script")
+    numbered = stats.select((F.row_number().over(by) - 1).alias(""), *stats.columns)
+    numbered.coalesce(1).write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
 
 
 def write_samples(samples: DataFrame, path: str, mode: str = "overwrite") -> None:
