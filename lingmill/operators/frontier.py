@@ -14,6 +14,10 @@ from lingmill.sources.shared import materialize
 
 # Frontier positions of one round differ in this many bits; the round number stands above.
 POS_BITS = 48
+# Rows that a round may look at in one task.
+ONE_TASK = 2_000_000
+# Bits of a position by which rows are counted at a time.
+_STEP = 16
 
 
 def shuffled_pos(url: Column, round_no: int | Column, seed: int = 0) -> Column:
@@ -37,9 +41,11 @@ def frontier_batch(frontier: DataFrame, n: int, lookahead: int = 10) -> DataFram
     """The next `n` URLs, from as many hosts as can be: (batch_pos, url, host).
 
     Looks at the first `n * lookahead` URLs only. One URL per host and pass, hosts with the
-    most URLs first. The look-ahead is a distributed top-k, and all that follows works on
-    its bounded result.
+    most URLs first. As long as one task can hold what is looked at, the look-ahead is a distributed top-k and all that
+    follows works on its bounded result; beyond that see `frontier_batch_in_ranges`, which gives the same rows.
     """
+    if n * lookahead > ONE_TASK:
+        return frontier_batch_in_ranges(frontier, n, lookahead)
     window_rows = (
         frontier.select("pos", "url", urls.netloc(F.col("url")).alias("host"))
         .orderBy("pos", "url")
@@ -62,6 +68,48 @@ def frontier_batch(frontier: DataFrame, n: int, lookahead: int = 10) -> DataFram
     )
 
 
+def first_rows(frontier: DataFrame, n: int) -> DataFrame:
+    """The first `n` rows by (pos, url), without a task that holds them all.
+
+    Positions are counted by their leading bits to find where the n-th row is, then those that begin like it by
+    their next bits, and so on: each step brings one small count per group of positions to the driver.
+    """
+    low, left, shift = None, n, 64
+    inside = frontier
+    while shift > 0:
+        shift -= _STEP
+        part = F.shiftright(F.col("pos"), shift)
+        counts = sorted(tuple(r) for r in inside.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+        for at, rows in counts:
+            if rows >= left:
+                break
+            left -= rows
+        else:
+            return frontier  # there are no more
+        low = at << shift
+        inside = frontier.filter((F.col("pos") >= low) & (F.col("pos") <= low + (1 << shift) - 1))
+    # rows of one position: a few
+    return frontier.filter(F.col("pos") < low).unionByName(inside.orderBy("url").limit(left))
+
+
+def frontier_batch_in_ranges(frontier: DataFrame, n: int, lookahead: int = 10, ranges: int | None = None) -> DataFrame:
+    """`frontier_batch` for any `n`: no task holds more than a range of the rows.
+
+    URLs are numbered within their host in ranges. How many there are per pass and size of host says where the pick
+    ends, so only the rows before that are put in order, again in ranges.
+    """
+    looked = first_rows(frontier.select("pos", "url"), n * lookahead)
+    named = looked.select("url", urls.netloc(F.col("url")).alias("host"), F.struct("pos", "url").alias("_order"))
+    passes = materialize(row_rank(named, ["host"], "_order", "_pass", ranges))
+    hosts = passes.groupBy("host").agg(F.count(F.lit(1)).alias("n_host"), F.min("_order").alias("_first"))
+    joined = materialize(passes.join(hosts, "host").withColumn("_cell", F.struct("_pass", (-F.col("n_host")).alias("_less"))))
+    cells = joined.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+    starts = running_total(cells, [], "_cell", F.col("_n"), "_start", ranges).filter(F.col("_start") < n).select("_cell", "_start")
+    placed = row_rank(joined.join(starts, "_cell"), ["_cell"], "_first", "_place", ranges)
+    at = F.col("_start") + F.col("_place") + 1
+    return placed.filter(at <= n).select(at.cast("bigint").alias("batch_pos"), "url", "host")
+
+
 def polite_batches(
     urls_df: DataFrame, batch_size: int = 250, order: str = "pos", ranges: int | None = None
 ) -> DataFrame:

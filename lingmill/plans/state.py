@@ -176,7 +176,7 @@ class CrawlState:
                 found = behind.count()
                 if found >= wanted:
                     break
-        more = behind.orderBy("pos", "url").limit(max(wanted, 0))
+        more = behind.orderBy("pos", "url").limit(max(wanted, 0)) if wanted <= fr.ONE_TASK else fr.first_rows(behind, wanted)
         self.write(left.unionByName(more), "looked", round_no)
         looked = self.looked(round_no)
         last = looked.agg(F.max(F.struct("pos", "url")).alias("at")).first()["at"]

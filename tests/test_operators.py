@@ -287,6 +287,19 @@ def test_report(spark):
     )
 
 
+@pytest.mark.parametrize("n", [1, 7, 60, 500])
+def test_pick_in_ranges_is_the_same(spark, n):
+    rng = random.Random(n)
+    hosts = [f"h{int(rng.paretovariate(0.7)) % 40}.org" for _ in range(900)]
+    # positions over all bits, some of them equal
+    rows = [(rng.choice([rng.randrange(1 << 62), 5 << 48, (5 << 48) + 1]), f"http://{h}/{i}") for i, h in enumerate(hosts)]
+    table = spark.createDataFrame(rows, schemas.FRONTIER)
+    want = sorted(map(tuple, fr.frontier_batch(table, n, 3).collect()))
+    assert sorted(map(tuple, fr.frontier_batch_in_ranges(table, n, 3, ranges=5).collect())) == want and want[0][0] == 1
+    first = sorted(rows)[: 3 * n]
+    assert sorted(map(tuple, fr.first_rows(table, 3 * n).collect())) == first
+
+
 @pytest.mark.parametrize("n_languages", [3, 8, 9, 3000])
 def test_language_model_of_many_labels(spark, n_languages):
     rng = random.Random(n_languages)
