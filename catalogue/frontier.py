@@ -11,6 +11,7 @@ from catalogue.robots import AGENT, valid_docs
 from lingmill.operators import frontier as fr
 from lingmill.operators import links as lk
 from lingmill.plans import crawl
+from lingmill.sources import readers
 from lingmill.sources.shared import materialize
 
 BATCH = 100
@@ -130,19 +131,48 @@ GROUP BY u.url
 )
 
 
-@query(
-    " UNION ALL ".join(
-        f"SELECT round, batch_pos, url, status, can_fetch FROM x_crawl_p{_r}" for _r in range(1, ROUNDS + 1)
-    )
+part(
+    "x_crawl_kept",
+    """
+SELECT url, segment_no, language FROM x_page_labels
+WHERE language = 'en' QUALIFY count(*) OVER (PARTITION BY url) * 100 >= (SELECT count(*) FROM x_page_labels l WHERE l.url = x_page_labels.url) * 80
+""",
 )
-def crawl_rounds(spark, sf):
+
+
+def _crawl(spark, sf, **options):
     pages = src.pages(spark, sf)
-    state = crawl.crawl_rounds(
+    return crawl.crawl_rounds(
         pages.select("url"),
         pages.withColumn("status", F.lit(200)),
-        valid_docs(spark, sf),
+        valid_docs(spark, sf).drop("fetched_at"),
         model(spark, sf),
-        crawl.CrawlOptions(targets=("en",), num_rounds=ROUNDS, round_size=ROUND_SIZE, user_agent=AGENT),
+        crawl.CrawlOptions(targets=("en",), num_rounds=ROUNDS, round_size=ROUND_SIZE, user_agent=AGENT, **options),
+    )
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT round, batch_pos, url, status, can_fetch FROM x_crawl_p{_r}" for _r in range(1, ROUNDS + 1)
     )
-    log = crawl.crawl_log(state, range(1, ROUNDS + 1))
+)
+def crawl_rounds(spark, sf):
+    log = crawl.crawl_log(_crawl(spark, sf), range(1, ROUNDS + 1))
     return log.withColumn("status", F.col("status").cast("bigint"))
+
+
+@query(
+    "SELECT round, line AS text, language AS label FROM ("
+    + " UNION ALL ".join(f"SELECT round, url, status FROM x_crawl_p{_r}" for _r in range(1, ROUNDS + 1))
+    + ") JOIN x_crawl_kept USING (url) JOIN x_page_lines USING (url, segment_no) WHERE status = 200"
+)
+def crawl_round_text(spark, sf):
+    """The text that the rounds wrote, their logs merged after every second round."""
+    state = _crawl(spark, sf, merge_every=2)
+    return readers.round_segments(spark, state.segments).select(F.col("round").cast("bigint").alias("round"), "text", "label")
+
+
+@query(f"SELECT pos, url FROM x_crawl_f{ROUNDS}")
+def crawl_frontier(spark, sf):
+    """What waits after the rounds, read from the logs."""
+    return _crawl(spark, sf, merge_every=2).frontier(ROUNDS)
