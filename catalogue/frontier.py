@@ -176,3 +176,21 @@ def crawl_round_text(spark, sf):
 def crawl_frontier(spark, sf):
     """What waits after the rounds, read from the logs."""
     return _crawl(spark, sf, merge_every=2).frontier(ROUNDS)
+
+
+@query(
+    r"""
+SELECT p.url, CAST(dense_rank() OVER (ORDER BY pass, place // 25) - 1 AS BIGINT) AS step,
+  CASE WHEN d.delay IS NULL THEN 1 ELSE least(greatest(d.delay, 1), 10) END AS delay
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY pass ORDER BY first_pos) - 1 AS place FROM (
+    SELECT *, row_number() OVER (PARTITION BY domain ORDER BY batch_pos) - 1 AS pass, min(batch_pos) OVER (PARTITION BY domain) AS first_pos
+    FROM (SELECT batch_pos, url, regexp_replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), '^www\.', '') AS domain
+          FROM x_crawl_p1 WHERE can_fetch))) p
+LEFT JOIN x_robots_delay d ON d.origin = regexp_extract(p.url, '^[a-z]+://[^/?#]*', 0)
+"""
+)
+def crawl_fetch_plan(spark, sf):
+    """Steps and pauses of the first round's URLs."""
+    plan = _crawl(spark, sf, fetch_plan=True, step_size=25).fetch_plan(1)
+    return plan.select("url", "step", F.col("delay").cast("bigint").alias("delay"))

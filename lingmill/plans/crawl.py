@@ -43,6 +43,9 @@ class CrawlOptions:
     #: Rounds whose added URLs are merged into one sorted run.
     merge_every: int = 8
     start_fresh: bool = False
+    #: Whether rounds write in which order and with which pauses their URLs may be fetched, and URLs of one step.
+    fetch_plan: bool = False
+    step_size: int = 250
 
 
 def _found(corpus: DataFrame | PageStore, wanted: DataFrame) -> DataFrame:
@@ -96,6 +99,11 @@ def crawl_round(
     decided = robots.robots_decide(batch, docs, options.user_agent, options.robots_check)
     # stored, so that the planner knows its size when it picks the join with the corpus
     decided = materialize(decided.select("url", "can_fetch", "batch_pos"))
+    if options.fetch_plan:
+        # no step has two URLs of a domain; `delay` is the pause that a host asks for, within limits
+        steps = fr.polite_batches(decided.filter("can_fetch").select("batch_pos", "url"), options.step_size, order="batch_pos")
+        steps = robots.crawl_delay(steps.withColumnRenamed("batch", "step"), docs, options.user_agent)
+        state.write(steps, "fetch_plan", round_no)
     found = _found(corpus, decided.filter("can_fetch"))
     fetched = decided.select("url", "can_fetch", "batch_pos").join(found, "url", "left").select(
         "url",

@@ -92,6 +92,11 @@ class CrawlState:
     def pages(self, round_no: int) -> DataFrame:
         return self._read("url STRING, html STRING, status INT, can_fetch BOOLEAN, batch_pos BIGINT", self.path("pages", round_no))
 
+    def fetch_plan(self, round_no: int) -> DataFrame:
+        """In which step each URL of a round may be fetched, and the pause between two fetches of its host."""
+        schema = "batch_pos BIGINT, url STRING, domain STRING, step BIGINT, robots_delay BIGINT, delay BIGINT"
+        return self._read(schema, self.path("fetch_plan", round_no))
+
     def parsed(self, round_no: int) -> DataFrame:
         return self._read(schemas.PARSED_PAGE, self.path("parsed", round_no))
 
