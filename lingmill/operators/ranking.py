@@ -71,6 +71,32 @@ def row_rank(
     return running_total(df, keys, order, F.lit(1), name, ranges)
 
 
+def running_max(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, ranges: int | None = None
+) -> DataFrame:
+    """Add `name`: the greatest `value` of the rows of the group up to this one by `order`, this one included; NULL if none has one.
+
+    Rows without a key are kept, but no value is carried from one range of them to the next. A task holds one range of a
+    group, never more. Of rows that are equal in `order` any may come first, so only values that rise with it, or an
+    `order` that is unique, give a fixed result.
+    """
+    keys, chunk = list(keys), "_chunk"
+    chunked = in_ranges(df, [*keys, *order[:-1]], order[-1], ranges)
+    inside = Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # a group has at most one maximum per range
+    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    tops = chunked.filter(F.col(value).isNotNull()).groupBy(*keys, chunk).agg(F.max(value).alias("_top"))
+    spans = chunked.select(*keys, chunk).distinct().join(tops, [*keys, chunk], "left")
+    offsets = spans.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(chunk).alias("_c"), F.max("_top").over(before).alias("_offset")
+    ).filter(F.col("_offset").isNotNull())
+    same = F.col(chunk) == F.col("_c")
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"_k{i}"))
+    ranked = chunked.withColumn("_inside", F.max(value).over(inside))
+    return ranked.join(offsets, same, "left").select(*df.columns, F.greatest("_offset", "_inside").alias(name))
+
+
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     """The row with the least `order` of every key.
 

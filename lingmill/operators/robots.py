@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lingmill.functions import tags, urls
 from lingmill.functions import text as tx
+from lingmill.operators.ranking import running_max
 from lingmill.sources.shared import materialize
 
 # Robots.txt keys that make up a group.
@@ -42,24 +43,24 @@ def robots_as_of(fetches: DataFrame, docs: DataFrame, time_col: str = "fetch_tim
     """Add `doc_time`: when the document that held at the time of a fetch was itself fetched, NULL if none held.
 
     `fetches` has `url` and `time_col`, `docs` any number of versions (origin, fetched_at). The last version up to the
-    time of the fetch holds, if it is younger than `ttl_hours`. Versions are listed by origin and day, on the days on
-    which they can hold, so the join is by equality; a list has the versions of a few days, which a cache that keeps
-    a document for `ttl_hours` has few of. No window runs over an origin, and a hot one may be split by its fetches.
+    time of the fetch holds, if it is younger than `ttl_hours`. Versions and fetches are put in order of origin and time
+    together, and each fetch takes the last version before it along (see `ranking.running_max`), so no fetch looks at
+    a list of versions, and a hot origin lies in several ranges.
     """
     age = F.expr(f"interval {int(ttl_hours)} hours")
-    # a day more than the age has: days can be 23 hours long
-    days = -(-int(ttl_hours) // 24) + 1
-    day = F.to_date("fetched_at")
-    listed = (
-        docs.filter(F.col("fetched_at").isNotNull())
-        .select("origin", "fetched_at", F.explode(F.sequence(day, F.date_add(day, days))).alias("_day"))
-        .groupBy("origin", "_day")
-        .agg(F.collect_set("fetched_at").alias("_times"))
-    )
-    timed = fetches.withColumns({"_origin": urls.origin(F.col("url")), "_on": F.to_date(time_col)})
-    joined = timed.join(listed, (timed["_origin"] == listed["origin"]) & (timed["_on"] == listed["_day"]), "left")
-    holds = F.filter("_times", lambda t: (t <= F.col(time_col)) & (t > F.col(time_col) - age))
-    return joined.select(*(timed[c] for c in fetches.columns), F.array_max(holds).alias("doc_time"))
+    versions = docs.filter(F.col("origin").isNotNull() & F.col("fetched_at").isNotNull()).select("origin", "fetched_at").distinct()
+    # a version holds at its very time already, so it comes first; the last column spreads fetches of one time
+    asked = fetches.select(
+        F.struct(*fetches.columns).alias("_fetch"), urls.origin(F.col("url")).alias("_origin"), F.col(time_col).alias("_at"),
+        F.lit(None).cast(docs.schema["fetched_at"].dataType).alias("_version"), F.lit(1).alias("_turn"), F.xxhash64("url").alias("_place"),
+    )
+    held = versions.select(
+        F.lit(None).cast(asked.schema["_fetch"].dataType).alias("_fetch"), F.col("origin").alias("_origin"), F.col("fetched_at").alias("_at"),
+        F.col("fetched_at").alias("_version"), F.lit(0).alias("_turn"), F.lit(0).cast("bigint").alias("_place"),
+    )
+    last = running_max(asked.unionByName(held), ["_origin"], ["_at", "_turn", "_place"], "_version", "_last")
+    fresh = F.when(F.col("_last") > F.col("_at") - age, F.col("_last"))
+    return last.filter("_turn = 1").select(*(F.col("_fetch")[c].alias(c) for c in fetches.columns), fresh.alias("doc_time"))
 
 
 def robots_missing(urls_df: DataFrame, docs: DataFrame) -> DataFrame:

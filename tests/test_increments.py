@@ -1,5 +1,6 @@
 """The corpus round by round, versions of robots documents, very many rules, bad rows, counts from footers."""
 
+import bisect
 import json
 import random
 from datetime import datetime, timedelta
@@ -7,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from lingmill.operators import dataset as ds
-from lingmill.operators import robots, seeds
+from lingmill.operators import ranking, robots, seeds
 from lingmill.plans import dataset
 from lingmill.sources import readers, shared, writers
 from tests.test_state import scanned_files, size
@@ -74,6 +75,38 @@ def test_a_fetch_sees_the_last_version_of_a_day(spark):
     assert got.count() == len(fetches) and rows == sorted(want)
 
 
+def test_versions_of_a_hot_origin_are_not_listed_per_fetch(spark):
+    rng = random.Random(8)
+    start = datetime(2024, 3, 30)
+    at = lambda: start + timedelta(seconds=rng.randrange(90_000))
+    versions = sorted(at() for _ in range(2000))
+    docs = [("http://hot.org", t) for t in versions[:1000] + versions[:50]] + [("http://hot.org", None), (None, start)]
+    fetches = [("http://hot.org/x", rng.choice([at(), versions[7], None])) for _ in range(2000)] + [(None, start), ("http://cold.org/", start)]
+    fetches += [("http://hot.org/late", versions[999] + timedelta(hours=h)) for h in (23, 24)]
+    got = robots.robots_as_of(
+        spark.createDataFrame(fetches, "url string, fetch_time timestamp"), spark.createDataFrame(docs, "origin string, fetched_at timestamp")
+    )
+    held = lambda u, t: bisect.bisect_right(versions, t, hi=1000) if t and (u or "").startswith("http://hot") else 0
+    want = [(u, t, versions[i - 1] if (i := held(u, t)) and versions[i - 1] > t - timedelta(hours=24) else None) for u, t in fetches]
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.collect())
+    # a list that each fetch goes through makes the work a product of fetches and versions
+    plan = got._jdf.queryExecution().toString()
+    assert "collect_set" not in plan and "collect_list" not in plan and "lambda" not in plan
+
+
+def test_running_max_over_ranges(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "a", "b", None]), i, rng.choice([None, None, rng.randrange(1000)])) for i in range(3000)]
+    table = spark.createDataFrame(rows, "k string, at int, v int").repartition(5)
+    got = {r["at"]: r["top"] for r in ranking.running_max(table, ["k"], ["at"], "v", "top", ranges=7).collect()}
+    tops = {}
+    for k, i, v in rows:
+        tops[k] = max((x for x in (tops.get(k), v) if x is not None), default=None)
+        # groups must not be NULL to be carried from range to range
+        assert k is None or got[i] == tops[k]
+    assert len(got) == 3000
+
+
 def test_very_many_rules(spark):
     rng = random.Random(9)
     rules = "\n".join(f"{rng.choice(['Allow', 'Disallow'])}: /{rng.randrange(400)}/{rng.randrange(90)}" for _ in range(20_000))
