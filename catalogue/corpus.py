@@ -11,7 +11,7 @@ from lingmill.operators import samples as sm
 from lingmill.plans import dataset
 from lingmill.plans.dataset import write_corpus
 from lingmill.sources import readers, writers
-from lingmill.sources.shared import run_folder
+from lingmill.sources.shared import materialize, run_folder
 
 part(
     "x_stats",
@@ -90,7 +90,8 @@ def dataset_rowcount(spark, sf):
 
 def _merged(spark, sf):
     """Three rounds that share lines: a half of all lines, a third, and all of them."""
-    rows, folder = src.corpus_rows(spark, sf), run_folder(spark, "merged")
+    # stored, as segments of rounds are
+    rows, folder = materialize(src.corpus_rows(spark, sf)), run_folder(spark, "merged")
     part = F.xxhash64("text", "language")
     for n, segments in enumerate((rows.filter(part % 2 == 0), rows.filter(part % 3 == 0), rows), 1):
         dataset.merge_round(spark, segments, folder, n, bits=4)

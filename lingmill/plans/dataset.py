@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from lingmill.operators import dataset as ds
 from lingmill.sources import readers, schemas, writers
-from lingmill.sources.shared import materialize
 
 #: Logarithm of the number of buckets that a corpus has if nothing else is said.
 _BITS = 8
@@ -85,21 +84,27 @@ def merge_round(spark: SparkSession, segments: DataFrame, folder: str, round_no:
     """Add the lines of a round (text, language, script) that the corpus does not have yet; how many they are.
 
     A round that is in the corpus already adds nothing. Work and writing follow the round: of the stored lines only
-    the buckets of the round's own lines are read. `bits` is fixed by the first round.
+    the buckets of the round's own lines are read. `bits` is fixed by the first round. Copies within the round and lines
+    that are stored go in one grouping, so a line is dealt out once to be compared; `segments` is read twice (first
+    for its buckets only) and best a stored table.
     """
     done = _finished(spark, folder)
     if round_no in done:
         return 0
     bits = next(iter(done.values()), bits)
     bucket = F.pmod(F.xxhash64("text", "language", "script"), F.lit(1 << bits)).cast("int")
-    new = materialize(ds.dataset_dedup(segments).withColumn("bucket", bucket))
-    touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]
-    old = _lines(spark, folder, done).filter(F.col("bucket").isin(touched)).drop("round")
-    same = new["bucket"] == old["bucket"]
-    for c in ("text", "language", "script"):
-        same = same & new[c].eqNullSafe(old[c])
+    line = ("text", "language", "script")
+    new = segments.select(*line)
+    if done:
+        touched = [r["bucket"] for r in new.select(bucket.alias("bucket")).distinct().collect()]
+        old = _lines(spark, folder, done).filter(F.col("bucket").isin(touched))
+        both = new.withColumn("_old", F.lit(False)).unionByName(old.select(*line, F.lit(True).alias("_old")))
+        # grouping takes NULL for equal to NULL, as the corpus does
+        new = both.groupBy(*line).agg(F.max("_old").alias("_old")).filter(~F.col("_old")).drop("_old")
+    else:
+        new = ds.dataset_dedup(new)
     path = f"{folder}/lines/round={round_no}"
-    new.join(old, same, "left_anti").hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    new.withColumn("bucket", bucket).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
     added = spark.read.schema(f"{schemas.DATASET_ROW}, bucket INT").parquet(path)
     ds.corpus_stats(added).write.mode("overwrite").parquet(f"{folder}/sums/round={round_no}")
     n = added.count()

@@ -2,6 +2,7 @@
 
 import bisect
 import json
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -55,6 +56,17 @@ def test_a_round_reads_and_writes_its_own_buckets(spark):
     assert scanned_files(few) == 3
 
 
+def test_a_round_is_not_stored_beside_the_corpus(spark):
+    folder, top = shared.run_folder(spark, "merge"), shared.shared_dir(spark).removeprefix("file:")
+    texts = ["a", "bb", None, "bb", "ccc", None]
+    assert dataset.merge_round(spark, corpus_rows(spark, texts[:2]), folder, 1, bits=2) == 2
+    before = set(os.listdir(top))
+    # the lines of a round, its copies and the stored lines meet in one grouping; a table of the round's lines between is written in vain
+    assert dataset.merge_round(spark, corpus_rows(spark, texts), folder, 2) == 2
+    assert set(os.listdir(top)) == before
+    assert sorted(str(r["text"]) for r in dataset.merged_corpus(spark, folder).collect()) == ["None", "a", "bb", "ccc"]
+
+
 def test_a_fetch_sees_the_last_version_of_a_day(spark):
     rng = random.Random(6)
     start = datetime(2024, 3, 30)
