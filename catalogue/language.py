@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalogue import inputs as src
 from catalogue.registry import part, query
 from lingmill.operators import language as lg
+from lingmill.sources.shared import materialize
 
 part(
     "x_counts",
@@ -63,8 +64,10 @@ def lid_train(spark, sf):
 
 @query(sql_best_label("doc_id, line_no", "x_lines"))
 def lid_predict(spark, sf):
-    lines = src.doc_lines(spark, sf).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "line")
-    return lg.lid_predict(lines, ["doc_id", "line_no"], "line", model(spark, sf)).drop("line")
+    # stored, as the lines are read for the model, for their trigrams and for the result
+    lines = materialize(src.doc_lines(spark, sf).select("doc_id", "lang", F.col("line_no").cast("bigint").alias("line_no"), "line"))
+    trained = lg.lid_train(lines, "line", "lang")
+    return lg.lid_predict(lines.drop("lang"), ["doc_id", "line_no"], "line", trained).drop("line")
 
 
 def _segments(spark, sf):

@@ -16,20 +16,43 @@ from lingmill.sources.shared import materialize
 
 #: Languages of one row of a model, one column each.
 WIDTH = 8
+#: Trigrams that are cut out of one stretch of text.
+_STRETCH = 32
+
+
+def _padded(text: Column) -> Column:
+    return F.concat(F.lit(" "), F.lower(text), F.lit(" "))
 
 
 def trigrams(text: Column) -> Column:
     """ARRAY of the overlapping 3-character pieces of the lower-cased text between two blanks."""
-    padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
     # look ahead at three characters, go on by one
-    return F.regexp_extract_all(padded, F.lit("(?s)(?=(...))."), F.lit(1))
+    return F.regexp_extract_all(_padded(text), F.lit("(?s)(?=(...))."), F.lit(1))
+
+
+def exploded_trigrams(lines: DataFrame, text_col: str, *others: Column | str) -> DataFrame:
+    """(others, trigram): one row for each of the `trigrams` of the lines that are not empty.
+
+    The text is cut by one regular expression into stretches that share two characters, and trigrams are cut out of
+    these by place. A place is found by counting characters from the start, so stretches are short; a regular expression
+    for each trigram takes several times as long.
+    """
+    stretch = F.lit(f"(?s)(?=(.{{1,{_STRETCH + 2}}})).{{1,{_STRETCH}}}")
+    # outer, as a plain explode is planned with a filter for empty lists in front, which makes each list once more
+    cut = lines.filter(F.length(text_col) > 0).select(
+        *others, F.explode_outer(F.regexp_extract_all(_padded(F.col(text_col)), stretch, F.lit(1))).alias("_stretch")
+    )
+    names = [c for c in cut.columns if c != "_stretch"]
+    # what is left at the end may be shorter than a trigram
+    n = F.length("_stretch") - 2
+    placed = cut.filter(n > 0).select(*names, "_stretch", F.explode_outer(F.sequence(F.lit(1), n)).alias("_at"))
+    return placed.select(*names, F.substring(F.col("_stretch"), F.col("_at"), F.lit(3)).alias("trigram"))
 
 
 def trigram_counts(lines: DataFrame, text_col: str, label_col: str) -> DataFrame:
     """(language, trigram, n). Counted within each map task first, so frequent trigrams are cheap."""
     return (
-        lines.filter(F.length(text_col) > 0)
-        .select(F.col(label_col).alias("language"), F.explode(trigrams(F.col(text_col))).alias("trigram"))
+        exploded_trigrams(lines, text_col, F.col(label_col).alias("language"))
         .groupBy("language", "trigram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -113,11 +136,7 @@ def lid_labels(lines: DataFrame, keys: Sequence[str], text_col: str, model: Lang
     n_languages = len(model.languages)
     if not n_languages:
         return lines.select(*keys, F.lit("").alias("language")).limit(0)
-    grams = lines.filter(F.length(text_col) > 0).select(
-        *keys,
-        F.length(text_col).cast("bigint").alias("_n"),
-        F.explode(trigrams(F.col(text_col))).alias("trigram"),
-    )
+    grams = exploded_trigrams(lines, text_col, *keys, F.length(text_col).cast("bigint").alias("_n"))
     one_block = n_languages <= WIDTH
     block = [] if one_block else ["block"]
     gains = model.lookup().drop("block") if one_block else model.lookup()

@@ -227,6 +227,20 @@ def test_trigrams_of_wide_characters(spark):
     assert df.select(language.trigrams(F.col("t"))).first()[0] == [" a\U0001f600", "a\U0001f600b", "\U0001f600b "]
 
 
+def test_trigrams_by_stretches(spark):
+    texts = ["", "a", "ab", "\U0001f600b", "two words", "line\nend", " ", None, "É" * 3000] + ["xyz Äb" * 20 + "q" * i for i in range(40)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = {}
+    exploded = language.exploded_trigrams(df, "t", "id")
+    for r in exploded.collect():
+        got.setdefault(r["id"], []).append(r["trigram"])
+    want = {r["id"]: r["a"] for r in df.select("id", language.trigrams(F.col("t")).alias("a")).collect() if texts[r["id"]]}
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    # lists are made once per row, not once more to see whether they are empty
+    plan = exploded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.count("sequence(") == 1
+
+
 def test_fetch_edges(spark):
     rows = [
         ("a", 200, {"Content-Type": "TEXT/html; x"}, "x", None),
