@@ -145,7 +145,8 @@ def _crawl(spark, sf, **options):
     return crawl.crawl_rounds(
         pages.select("url"),
         pages.withColumn("status", F.lit(200)),
-        valid_docs(spark, sf).drop("fetched_at"),
+        # stored, as each round looks for its origins in them
+        materialize(valid_docs(spark, sf).drop("fetched_at")),
         model(spark, sf),
         crawl.CrawlOptions(targets=("en",), num_rounds=ROUNDS, round_size=ROUND_SIZE, user_agent=AGENT, **options),
     )

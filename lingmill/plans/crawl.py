@@ -94,6 +94,8 @@ def crawl_round(
     else:
         # an origin that is there several times is one document
         docs = docs.groupBy("origin").agg(F.min("content").alias("content"))
+    # stored, as it is read for what is missing, for the decisions and for the pauses, and `docs` may be a query over many pages
+    docs = materialize(docs)
     if options.robots_check:
         state.write(robots.robots_missing(batch, docs), "robots_missing", round_no)
     decided = robots.robots_decide(batch, docs, options.user_agent, options.robots_check)

@@ -222,3 +222,19 @@ def test_shared_folder_comes_from_the_session():
         conf = {"spark.checkpoint.dir": "/shared/place/"}
 
     assert shared.shared_dir(Session()) == "/shared/place"
+
+
+def test_a_round_works_its_robots_documents_out_once(spark, model):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        seen.add(1)
+        return text
+
+    docs = docs_of(spark)
+    n = docs.count()
+    docs = docs.withColumn("content", F.udf(counted, "string")("content"))
+    options = crawl.CrawlOptions(**(OPTIONS | {"num_rounds": 1, "fetch_plan": True}))
+    crawl.crawl_rounds(spark.createDataFrame([(u,) for u in SITE], "url string"), corpus_of(spark), docs, model, options)
+    # read for the documents that are missing, for the decisions and for the pauses
+    assert 0 < seen.value <= n
